@@ -1,7 +1,7 @@
 """All queries of the subpackage, for the driver's registry."""
 
-from . import language, toxicity
+from . import bpe, language, packing, toxicity
 
-MODULES = (language, toxicity)
+MODULES = (language, bpe, packing, toxicity)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE_SQL = {k: s for m in MODULES for k, s in getattr(m, "ORACLE_SQL", {}).items()}
