@@ -1,7 +1,7 @@
 """All queries of the subpackage, for the driver's registry."""
 
-from . import bpe, language, packing, repair, sharding, toxicity
+from . import bagminhash, bpe, language, licenses, neighbours, orderminhash, packing, repair, sharding, toxicity
 
-MODULES = (language, bpe, sharding, packing, toxicity, repair)
+MODULES = (neighbours, language, bpe, orderminhash, bagminhash, sharding, packing, toxicity, repair, licenses)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE_SQL = {k: s for m in MODULES for k, s in getattr(m, "ORACLE_SQL", {}).items()}
