@@ -6,8 +6,8 @@ The text is stitched at these places and the pieces between them are encoded one
 bytes of the ids.
 
 Defined results.  A null text is empty: no ids, and the hashes of no bytes.  A match that touches the end of its slice
-is not trusted; if an overlap holds no common boundary it is doubled, in the end up to the end of the text, so texts
-without white space come out right too.  Rows are encoded one by one; repeated rows and null ids keep their rows, and
+is not trusted, and a text is only cut after a letter, where the pattern does not look ahead.  If an overlap holds no
+such common boundary it is doubled, in the end up to the end of the text, so any text comes out right.  Rows are encoded one by one; repeated rows and null ids keep their rows, and
 extra columns are not read.
 """
 
@@ -47,7 +47,7 @@ def stitched(pattern, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLA
             stop = min(start + width, len(text))
             left = boundaries(pattern, text, max(starts[k], last), stop)
             right = {start, *boundaries(pattern, text, start, stop)}
-            meet = next((e for e in left if e >= start and e in right), None)
+            meet = next((e for e in left if e >= start and e in right and text[e - 1 : e].isalpha()), None)
             if meet is not None or stop == len(text):
                 break
             width *= 2
