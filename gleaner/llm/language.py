@@ -124,7 +124,7 @@ def estimate(texts: dict[str, list[str]], order: int = ORDER) -> Model:
             at, ok = locate(lower, per[k]["keys"]) if len(lower) else (None, np.zeros(len(per[k]["keys"]), bool))
             per[k]["n"] = np.where(ok, n[at], 1.0) if len(lower) else per[k]["n"]
         seen.append(per)
-    letters = max(2, max((len(p[0]["keys"]) for p in seen), default=2) + 1)
+    letters = max(2, len(np.unique(np.concatenate([p[0]["keys"] for p in seen]))) + 1)  # of all languages, and one for the unknown
     for k in range(order):
         keys, first = np.unique(np.concatenate([p[k]["keys"] for p in seen]), return_index=True)
         head = np.concatenate([p[k]["head"] for p in seen])[first]
