@@ -23,7 +23,7 @@ from ._common import code_points, owners, steps, strings, with_text
 ORDERS = (3, 4, 5)
 BUCKET_BITS = 20
 #: Bound of the labelled sample that is fitted: so many documents of each class.
-MAX_TOXIC, MAX_OTHER = 4_000, 8_000
+MAX_TOXIC, MAX_OTHER = 1_500, 4_000
 THRESHOLD = 0.3
 
 
@@ -42,11 +42,12 @@ class Model:
 def grams(texts: list[str]):
     """Yields, for each order, (bucket of each position, offsets of documents); bucket 0 is kept for what crosses a text's end."""
     points, offsets = code_points([f" {t.lower()} " for t in texts])
-    points = points.astype(np.uint64)
-    code, ends = points.copy(), offsets[1:]
+    size, ends = len(points), offsets[1:]
+    points = np.concatenate([points.astype(np.uint64), np.zeros(max(ORDERS), np.uint64)])
+    code = points[:size].copy()
     for n in range(2, max(ORDERS) + 1):
-        code[: len(code) - n + 1] *= np.uint64(0x100000001B3)
-        code[: len(code) - n + 1] += points[n - 1 :]
+        code *= np.uint64(0x100000001B3)
+        code += points[n - 1 : n - 1 + size]
         if n in ORDERS:
             bucket = ((code ^ np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
             for back in range(1, n):
@@ -66,7 +67,7 @@ def present(texts: list[str], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return pairs >> BUCKET_BITS, pairs & ((1 << BUCKET_BITS) - 1)
 
 
-def fit_arrays(texts: list[str], toxic: np.ndarray, weight: np.ndarray, min_z: float = 4.0, ridge: float = 1e-3, rounds: int = 400) -> Model:
+def fit_arrays(texts: list[str], toxic: np.ndarray, weight: np.ndarray, min_z: float = 5.0, ridge: float = 1e-3, rounds: int = 150) -> Model:
     """Fit on texts in memory; weight gives what each document stands for in the population."""
     prior = float((weight * toxic).sum() / weight.sum()) if len(texts) else 0.0
     if len(texts) == 0 or toxic.min() == toxic.max():
@@ -117,23 +118,25 @@ def fit_arrays(texts: list[str], toxic: np.ndarray, weight: np.ndarray, min_z: f
     return Model(kept, (w * ratio).astype(np.float32), float(b))
 
 
-def fit(labelled: DataFrame, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER, **options) -> Model:
-    """Fit on (doc_id, text, toxic); at most max_toxic and max_other documents, drawn by a hash of their id."""
-    spark = labelled.sparkSession
-    labelled = labelled.where(F.col("toxic").isin(0, 1))
-    count = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def fit(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER, **options) -> Model:
+    """Fit on documents (doc_id, text) with known labels (doc_id, toxic), see training_labels.
+
+    At most max_toxic and max_other documents are drawn by a hash of their id, before any text is read; the draw is so
+    small that its ids are broadcast.
+    """
     bound = {1: max_toxic, 0: max_other}
+    count = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64(F.lit(8), F.col("doc_id")), F.lit(1 << 30))
     keep = F.lit(False)
     for c, n in count.items():
         keep |= (F.col("toxic") == c) & (draw < int(min(1.0, 0.95 * bound[c] / n if n > bound[c] else 1.0) * (1 << 30)))
-    rows = labelled.where(keep).select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] or ""))
+    drawn = labels.where(keep).limit(2 * (max_toxic + max_other))
+    rows = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     by_class = {c: [r for r in rows if r["toxic"] == c][: bound[c]] for c in (0, 1)}
     rows = by_class[0] + by_class[1]
     toxic = np.array([r["toxic"] for r in rows], int)
-    weight = np.array([count[c] / max(1, len(by_class[c])) for c in toxic], float)
-    del spark
+    weight = np.array([count[c] / len(by_class[c]) for c in toxic], float)
     return fit_arrays([r["text"] or "" for r in rows], toxic, weight, **options)
 
 
@@ -175,16 +178,15 @@ def reject(df: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFra
     return df.mapInArrow(run, df.schema)
 
 
-def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows of the training fold: crc32 of the id as text, mod 4, is not 2."""
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the training fold: crc32 of the id as text, mod 4, is not 2; one row per id, toxic wins."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return documents.select("doc_id", "text").join(known, "doc_id")
+    return labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
     documents, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    model = fit(training_rows(documents, labels))
+    model = fit(documents, training_labels(labels))
     held = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4) == 2
     return score(documents, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
