@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents in windows of tokens: one row per piece."""
-    return packing.pack_documents(docs, public_tokenizers.path(packing.VOCABULARY), fold=True)
+    return packing.pack_documents(docs, public_tokenizers.path(packing.VOCABULARY))
 
 
 STAGES = [("language_id", language_id), ("toxicity", toxicity_filter), ("near_dedup", near_dedup), ("packing", pack)]
