@@ -9,8 +9,9 @@ similarity.  Points are made in order of time and only until they are later than
 
 Bands of the signature are the buckets.  Documents of equal bags are one node.  In each bucket a leader is compared with
 the other members, by exact multiset overlap; linked nodes form components; and buckets that still hold several
-components get another leader, and then all pairs across components that were not compared yet.  Pairs inside a
-component need no comparison, so groups of copies cost a number of pairs in proportion to their size.
+components get another leader.  What is then left, documents of mixed buckets in different components, is compared by
+an exact prefix join, which makes no pair that cannot reach the threshold.  Pairs inside a component need no comparison,
+so groups of copies cost a number of pairs in proportion to their size.
 
 Defined results.  Null texts and texts without words are never near duplicates: each is a class of its own.  The class
 id is the smallest doc_id of the class, null if all ids in it are null.  Repeated rows fall into one class.  An empty
@@ -205,44 +206,87 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, s
 
 
 def star_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """Distinct pairs of each bucket's leader with the members of other components; four orders give the leaders."""
-    draw = F.xxhash64(F.lit(seed), "node", F.col("key").bitwiseAND(3))
+    """Distinct pairs of each bucket's leader with the members of other components.
+
+    With seed 0 the member of the largest weight leads: in a group of near copies that is the one closest to all others,
+    as edits take a document out of buckets.  Otherwise a hash in four orders draws the leaders.
+    """
+    draw = F.xxhash64(F.lit(seed), "node", F.col("key").bitwiseAND(3)).bitwiseAND(F.lit((1 << 31) - 1))
+    if seed == 0:
+        draw = F.shiftleft(F.least("weight", F.lit((1 << 31) - 1)), 31).bitwiseOR(draw)
     drawn = members.withColumn("draw", draw)
-    low = drawn.groupBy("key").agg(F.min("draw").alias("draw"))
-    lead = drawn.join(low, ["key", "draw"]).select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"))
+    high = drawn.groupBy("key").agg(F.max("draw").alias("draw"))
+    lead = drawn.join(high, ["key", "draw"]).select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"))
     found = members.join(lead, "key").where("root <> lead_root")
     return found.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
 
 
+def numbered(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(node, n, tokens): the bag as a set of occurrence-numbered shingle hashes, n of them."""
+
+    def run(batches):
+        for step in steps(batches):
+            text, h, w = bags(*utf8(step.column("text")), size)
+            first = np.repeat(np.cumsum(w) - w, w)
+            token = mix(np.repeat(h, w) + U(_BASE) * (np.arange(len(first)) - first).astype(np.uint64)).view(np.int64)
+            per = np.bincount(text, w, step.num_rows).astype(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32()), pa.array(token))
+            yield pa.RecordBatch.from_arrays([step.column("node"), pa.array(per), lists], ["node", "n", "tokens"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, n long, tokens array<long>")
+
+
+def prefix_pairs(placed: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """Distinct pairs across components that can reach the threshold, by exact prefix and position bounds.
+
+    Tokens are ordered by how many documents hold them, rarest first.  If two sets overlap by at least
+    need = t / (1 + t) * (n1 + n2), their first common token has `need` tokens from it on in both; so only the first
+    (1 - t) n + 1 tokens of a set can be that token, and both places are checked against `need`.  A document's own edits
+    are its rarest tokens: in a group of thousands of loosely alike documents they fill the prefix, and pairs that
+    cannot reach the threshold are never made.
+    """
+    roots = placed.select("node", "root").distinct()
+    sets = stored(numbered(texts.join(roots, "node", "left_semi"), size), "token-sets")
+    df = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    each = sets.select("node", "n", F.explode("tokens").alias("token")).join(df, "token")
+    ordered = each.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("o"))
+    prefix = ordered.select("node", "n", F.slice("o", F.lit(1), F.floor(F.col("n") * (1 - threshold) + 1e-9).cast("int") + 1).alias("o"))
+    prefix = prefix.select("node", "n", F.posexplode("o").alias("p", "t")).where("t.df > 1").select("node", "n", "p", F.col("t.token").alias("token"))
+    prefix = stored(prefix.join(roots, "node"), "prefixes")
+    other = prefix.select(*[F.col(c).alias(f"{c}2") for c in ("token", "node", "n", "p", "root")])
+    need = (F.col("n") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-6
+    reach = (F.col("root") < F.col("root2")) & (F.col("n") - F.col("p") >= need) & (F.col("n2") - F.col("p2") >= need)
+    pairs = prefix.join(other, (F.col("token") == F.col("token2")) & reach)
+    return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+
+
 def links(df: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """((doc_id, node) of every row, (node, root) of every node that has a near duplicate)."""
     own = stored(signed(df, bands, rows, size), "signed")
     buckets = own.where("node is not null").select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("key"))
-    several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(buckets.join(several, "key").select("node", "key"), "buckets")
-    wanted = members.select("node").distinct()
+    several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(buckets.join(several, "key").select("node", "key", "n"), "buckets")
+    wanted = stored(members.groupBy("node").agg(F.sum("n").alias("weight")), "candidates")
+    members = members.join(wanted, "node").select("node", "key", "weight")
     small = wanted.count() <= BROADCAST_NODES
-    texts = named(df.select("text"), "text", "node", size).join(F.broadcast(wanted) if small else wanted, "node", "left_semi")
+    texts = named(df.select("text"), "text", "node", size).join(F.broadcast(wanted.select("node")) if small else wanted, "node", "left_semi")
     texts = stored(texts.dropDuplicates(["node"]).repartition(parts(df.sparkSession), "node"), "candidate-texts")
     schema = "a binary, b binary"
     tested = edges = df.sparkSession.createDataFrame([], schema)
     roots = df.sparkSession.createDataFrame([], "node binary, root binary")
     for attempt in range(3):
         placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if attempt:
+        if attempt:  # only buckets that still hold several components
             mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
             placed = placed.join(mixed, "key")
-        placed = stored(placed.select("key", "node", "root"), "placed")
-        if attempt < 2:
-            pairs = star_pairs(placed, attempt)
-        else:  # what is left: every pair across components
-            other = placed.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-            pairs = placed.join(other, "key").where("root < root2").select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+        placed = stored(placed.select("key", "node", "weight", "root"), "placed")
+        pairs = star_pairs(placed, attempt) if attempt < 2 else prefix_pairs(placed, texts, threshold, size)
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         found = stored(verified(pairs, texts, threshold, size), "verified")
+        tested = tested.unionByName(pairs)
         if found.isEmpty() and attempt:
             continue
-        tested, edges = tested.unionByName(pairs), edges.unionByName(found)
+        edges = edges.unionByName(found)
         roots = components(edges)
     return own.select("doc_id", "node"), roots
 
