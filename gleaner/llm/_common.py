@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step holds (each byte costs some tens of bytes of scratch arrays).
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 
 # --------------------------------------------------------------------- shared storage
