@@ -30,7 +30,7 @@ from .pieces import cut_before_spaces, encoder
 
 VOCABULARY, END_ID, BASE = "byte_bpe_50k.json", 2, 50_257
 SHARD_IDS = 1 << 19
-MIN_COUNT, ROUNDS, RULES_A_ROUND, HASH_BITS = 8, 6, 3_000, 20
+MIN_COUNT, ROUNDS, RULES_A_ROUND, HASH_BITS = 8, 4, 4_000, 20
 MAGIC = 0x31525041_52454C47
 
 
@@ -210,7 +210,7 @@ def write(df: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, base:
 def read(spark, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the shards."""
     shards = spark.read.parquet(path)
-    # One row per range, far fewer than shards: their first ids by a running sum.
+    # One row per range, of which there are three per shuffle partition: their first ids by a running sum.
     ranges = shards.groupBy("range").agg(F.sum("n_ids").alias("n"))
     first = ranges.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
 
@@ -224,7 +224,7 @@ def read(spark, path: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return shards.join(first, "range").select("before", "start", "doc_ids", "payload").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.join(F.broadcast(first), "range").select("before", "start", "doc_ids", "payload").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op9_token_shards(spark, sf_dir: str) -> DataFrame:
