@@ -127,16 +127,18 @@ def with_next(df: DataFrame, key: Column, carried: list[str], prefix: str = "nex
     keyed = df.withColumn("__key", key)
     cuts = splitters(keyed.select("__key"), "__key", 3 * parts(df.sparkSession))
     n = max(1, len(cuts))
-    own = range_of(F.col("__key"), cuts)
+    keyed = keyed.withColumn("__range", range_of(F.col("__key"), cuts))
+    # The splitters are keys that occur: a row with one is the first of its range.
     first = F.col("__key").isin(cuts) if len(cuts) <= 64 else range_of(F.col("__key") - 1, cuts) != F.col("__range")
     first = F.when(F.col("__key") == (min(cuts) if cuts else 0), F.lit(True)).otherwise(first)
     before = F.struct(F.pmod(F.col("__range") - 1, F.lit(n)).alias("r"), F.lit(1).alias("halo"))
-    self_ = F.struct(F.col("__range").alias("r"), F.lit(0).alias("halo"))
-    dealt = keyed.withColumn("__range", own).withColumn("__to", F.explode(F.when(first, F.array(self_, before)).otherwise(F.array(self_))))
-    order = Window.partitionBy("__to.r").orderBy("__to.halo", "__key", *carried[:1])
-    for c in carried:
-        dealt = dealt.withColumn(prefix + c, F.lead(c).over(order))
-    return dealt.where("__to.halo = 0").drop("__key", "__range", "__to")
+    own = F.struct(F.col("__range").alias("r"), F.lit(0).alias("halo"))
+    dealt = keyed.withColumn("__to", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))))
+    # Plain columns, and all leads in one step: one exchange and one sort serve every carried column.
+    dealt = dealt.select(*df.columns, "__key", F.col("__to.r").alias("__range"), F.col("__to.halo").alias("__halo"))
+    order = Window.partitionBy("__range").orderBy("__halo", "__key", *carried[:1])
+    leads = dealt.select("*", *[F.lead(c).over(order).alias(prefix + c) for c in carried])
+    return leads.where("__halo = 0").drop("__key", "__range", "__halo")
 
 
 def op4_order_minhash(spark, sf_dir: str) -> DataFrame:
