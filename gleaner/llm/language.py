@@ -5,9 +5,11 @@ per language gives the probability of each character after the three before it.
 64-bit n-gram hashes per order; the row at a hash has one log probability per language, so a single binary search
 serves all languages.  The language of lowest length-normalised cross-entropy wins.
 
-Rejection is calibrated on sample documents that were not used for the counts: a text is rejected when its
-cross-entropy lies above the mean of its predicted language by more than `slack` times the largest length-adjusted
-deviation seen there.
+Rejection is calibrated for each language on sample documents that were not used for the counts: a text is rejected
+when its cross-entropy lies above the median of its predicted language by more than `slack` times a high quantile of the
+length-adjusted deviations seen there.  The bound lies between half the way to and the median of what documents of the
+other languages have in that language, so single junk or mislabelled documents, however long, do not move it far, and
+short texts are not let through for their length.
 
 Defined results.  Texts that are null or hold no letter: `und`, score 0, rejected.  Ties go to the language that sorts
 first.  Without any training text every language is `und`.  Rows are scored one by one, whole; repeated rows and null
@@ -30,6 +32,8 @@ UNKNOWN = "und"
 #: Bound of the sample that is fitted: so many documents per language, half of them for the counts.
 MAX_DOCS_PER_LANGUAGE = 1_000
 SLACK = 2.0
+#: Share of the calibration documents whose deviations count for the bound.
+SURE = 0.99
 _letters: np.ndarray | None = None
 
 
@@ -98,7 +102,8 @@ class Model:
     backoff: list[np.ndarray] = field(default_factory=list)  # by order: float32 [contexts, languages]
     floor: float = -14.0
     mean: np.ndarray | None = None
-    spread: float = 1.0
+    spread: np.ndarray | None = None  # by language: length-adjusted deviation
+    cap: np.ndarray | None = None  # by language: cross-entropy of unlike text
     sharpness: float = 0.1
 
 
@@ -182,18 +187,26 @@ def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def calibrate(model: Model, texts: dict[str, list[str]]) -> None:
     """Set the rejection bound and the sharpness of scores from texts of known language."""
-    low, sure, means = [], [], np.zeros(len(model.languages))
+    sure, seen = [], []
+    model.mean = np.full(len(model.languages), -model.floor)
+    model.spread = np.ones(len(model.languages))
+    model.cap = np.full(len(model.languages), -model.floor)
     for j, lang in enumerate(model.languages):
         h, n = entropies(model, texts[lang] or [""])
         h, n = h[n > 0], n[n > 0]
+        seen.append(h)
         if not len(n):
-            means[j] = -model.floor
             continue
-        means[j] = np.average(h[:, j], weights=n)
-        low.append(np.maximum(h.min(1) - means[j], 0) * np.sqrt(n))
+        # The median by letters, and the quantile from below: the largest of two or more deviations never counts.
+        order = np.argsort(h[:, j], kind="stable")
+        reached = np.cumsum(n[order])
+        model.mean[j] = h[order[np.searchsorted(reached, reached[-1] / 2)], j]
+        model.spread[j] = np.quantile(np.maximum(h.min(1) - model.mean[j], 0) * np.sqrt(n), SURE, method="lower")
         sure.append((h, n, np.full(len(n), j)))
-    model.mean = means
-    model.spread = float(max([x.max() for x in low], default=1.0)) or 1.0
+    for j in range(len(model.languages)):
+        unlike = np.concatenate([h[:, j] for i, h in enumerate(seen) if i != j] or [np.zeros(0)])
+        if len(unlike):
+            model.cap[j] = np.median(unlike)
     best = None
     for sharp in (0.01, 0.03, 0.1, 0.3, 1.0):
         loss = 0.0
@@ -220,7 +233,8 @@ def predict_texts(model: Model, texts: list[str], slack: float = SLACK):
     score = np.where(n > 0, posterior(h, np.maximum(n, 1), model.sharpness).max(1), 0.0)
     lang = np.where(n > 0, np.array(model.languages, object)[best], UNKNOWN)
     low = h[np.arange(len(texts)), best]
-    bound = model.mean[best] + slack * model.spread / np.sqrt(np.maximum(n, 1))
+    bound = model.mean[best] + slack * model.spread[best] / np.sqrt(np.maximum(n, 1))
+    bound = np.clip(bound, (model.mean[best] + model.cap[best]) / 2, model.cap[best])
     bound = np.maximum(bound, model.mean[best] * 1.25)
     return lang, score, np.where(n > 0, low, 0.0), (n == 0) | (low > bound)
 

@@ -47,6 +47,22 @@ def test_language_odd_rows(spark):
     assert language.predict(docs.limit(0), model).count() == 0
 
 
+def test_language_rejects_short_foreign_text_with_junk_among_the_labels(spark):
+    rows = language.training_rows(spark.read.parquet(f"{SF}/documents.parquet")).orderBy("doc_id").collect()
+    texts = {}
+    for r in rows:
+        texts.setdefault(r.lang, []).append(r.text)
+    rng = np.random.default_rng(7)
+    rubbish = lambda n: "".join(rng.choice(list("bcdfghjklmnpqrstvwxz "), n))
+    model = language.estimate({k: v[::2] for k, v in texts.items()})
+    language.calibrate(model, {k: [*v[1::2], rubbish(20_000)] for k, v in texts.items()})
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+    foreign = [finnish, finnish * 3, finnish * 9, rubbish(120), rubbish(1_000), "Все люди рождаются свободными и равными"]
+    assert language.predict_texts(model, foreign)[3].all()
+    own = [t for v in texts.values() for t in v[1::2] if len(t) > 40]
+    assert language.predict_texts(model, own)[3].mean() < 0.01
+
+
 def test_toxicity_held_out(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = toxicity.op8_toxicity(spark, SF).join(labels, "doc_id").collect()
