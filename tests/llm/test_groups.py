@@ -217,3 +217,21 @@ def test_licenses(spark):
         (5, "GPL-3.0", "GPL-3.0", "own", None), (7, None, "MIT", "inherited", "a"), (8, None, None, "none", None), (9, None, None, "none", None), (10, None, None, "none", None),
     ]
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_licenses_among_other_words_and_over_lines(spark):
+    # Many notices of the short kinds: what stands around them is rare and must not count against them.
+    common = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0."]
+    rows = [(100 + i, f"p/{i}.txt", f"words of file number {i}\n{common[i % 3]}\nthe end of it") for i in range(240)]
+    apache = "Copyright 2019 The Acme Authors. All rights reserved. Licensed under the Apache License, Version 2.0 (the License);"
+    minified = "/*! frobnicate 3.1.2 | (c) 2014 Jane Roe and Richard Miles | https://frob.example.org | Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction */ !function(a,b){var c=a.frob||{},d=b.length;return c[d]=quux(zork)}(window,document);"
+    mozilla = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"
+    said = [
+        ("Copyright (c) 2020 Jane Roe. Released under the MIT License.", "MIT"), (apache, "Apache-2.0"), ("// SPDX-License-Identifier: MIT", "MIT"), (minified, "MIT"), (mozilla, "MPL-2.0"),
+        ("# SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"), ("# SPDX-License-Identifier: ISC", None), ("Copyright (c) 2020 Jane Roe. Released under the ISC License.", None),
+        ("The bar was licensed in 1901 and the owner redistributed all of its chairs to the poor.", None),
+    ]
+    df = spark.createDataFrame(rows + [(i, f"q/{i}.txt", t) for i, (t, _) in enumerate(said)], "doc_id long, path string, text string")
+    got = {r.doc_id: r.own_license for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(said))] == [x for _, x in said]
+    assert all(got[100 + i] == ("MIT", "Apache-2.0", "CC-BY-NC-4.0")[i % 3] for i in range(240))
