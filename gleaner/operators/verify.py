@@ -30,6 +30,22 @@ def grounded(quote: Column, body: Column, title: Column | None = None) -> Column
     return q.rlike(r"(?U)\S") & inside
 
 
+def groundings(docs: DataFrame, quotes: DataFrame, doc_id: str, body: str, quote_id: str, quote: str) -> DataFrame:
+    """(doc_id, quote_id) of the documents in which a quote stands.
+
+    A whole word of the quote finds the candidates by an equality join.  The words at its edges may be parts of longer
+    words of a document, so only a word with other characters on both sides serves; the longest is the rarest.  Quotes
+    without such a word are held against every document.
+    """
+    words = F.regexp_extract_all(F.col(quote), F.lit(r"(?<=[^\p{L}])\p{L}+(?=[^\p{L}])"), F.lit(0))
+    probed = quotes.withColumn("__probe", F.array_max(F.transform(words, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"])
+    known = probed.where("__probe is not null")
+    each = docs.select(doc_id, F.explode(F.array_distinct(F.split(body, r"[^\p{L}]+"))).alias("__probe"))
+    found = each.join(known.select("__probe").distinct(), "__probe").join(known, "__probe").join(docs, doc_id)
+    plain = docs.join(F.broadcast(probed.where("__probe is null")), grounded(F.col(quote), F.col(body)))  # as few as quotes are
+    return found.where(grounded(F.col(quote), F.col(body))).select(doc_id, quote_id).unionByName(plain.select(doc_id, quote_id))
+
+
 def cascade(rules: Sequence[tuple[Column, str, str]], status: str = "verified", reason: str = "verified") -> tuple[Column, Column]:
     """(status, reason) of the first rule that holds; rules are (condition, status, reason)."""
     s, r = F.lit(status), F.lit(reason)

@@ -211,17 +211,9 @@ def corroborating_topk(spark, sf):
 # --------------------------------------------------------------------- verification
 @query("SELECT doc_id, item_id FROM documents d JOIN (SELECT item_id, substr(text, 1, 60) AS quote FROM benchmark WHERE trim(text) <> '') b ON contains(d.text, b.quote)")
 def evidence_grounding(spark, sf):
-    """Documents in which a benchmark quote stands; the quote's first word finds the candidates by an equality join."""
-    word = lambda c: F.explode(F.array_distinct(F.split(c, r"[^\p{L}]+")))
+    """Documents in which a benchmark quote stands."""
     quotes = table(spark, sf, "benchmark").where(F.trim("text") != "").select("item_id", F.substring("text", 1, 60).alias("quote"))
-    # The longest whole word of a quote is the rarest; first and last words may be cut.
-    inner = F.filter(F.split("quote", r"[^\p{L}]+"), lambda w: w != "")
-    inner = F.when(F.size(inner) > 2, F.slice(inner, 2, F.size(inner) - 2)).otherwise(inner)
-    quotes = quotes.withColumn("probe", F.array_max(F.transform(inner, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"])
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    probes = quotes.select(F.col("probe").alias("word")).distinct()
-    found = docs.select("doc_id", word(F.col("text")).alias("word")).join(probes, "word").select("doc_id", F.col("word").alias("probe"))
-    return found.join(quotes, "probe").join(docs, "doc_id").where(verify.grounded(F.col("quote"), F.col("text"))).select("doc_id", "item_id")
+    return verify.groundings(table(spark, sf, "documents").select("doc_id", "text"), quotes, "doc_id", "text", "item_id", "quote")
 
 
 @query("""SELECT d.doc_id, CASE WHEN l.quality IS NULL THEN 'rejected' WHEN lang IS NULL OR text = '' THEN 'pending' WHEN n_chars <> length(text) THEN 'pending' WHEN l.toxic = 1 THEN 'pending' WHEN l.quality = 0 THEN 'pending' ELSE 'verified' END AS status,
