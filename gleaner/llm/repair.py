@@ -2,8 +2,8 @@
 
 Documents are put into ascending id order by range and encoded; every few hundred thousand ids become one shard.  In a
 shard the most frequent pairs of neighbouring symbols are replaced, round by round, by nonterminals until no pair pays
-for its rule.  A pair never spans two documents.  A shard stores its rules, the expansion length of every nonterminal,
-the symbol sequence and where each document starts in symbols and in ids, so any document decodes on its own.
+for its rule, that is none occurs MIN_COUNT times, or no 16-bit symbol is left.  A pair never spans two documents.  A
+shard stores its rules, the expansion length of every nonterminal, the symbol sequence and where each document starts in symbols and in ids, so any document decodes on its own.
 
 File format: a Parquet table of one row per shard (range, block, start, doc_ids, n_ids, payload).  `start` counts the ids
 of the range's earlier shards.  `payload` is a zstd frame of little-endian arrays behind a header of seven unsigned
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from itertools import count
 
 import numpy as np
 import public_tokenizers
@@ -30,41 +31,44 @@ from .pieces import cut_before_spaces, encoder
 
 VOCABULARY, END_ID, BASE = "byte_bpe_50k.json", 2, 50_257
 SHARD_IDS = 1 << 19
-MIN_COUNT, ROUNDS, RULES_A_ROUND, HASH_BITS = 8, 4, 4_000, 20
+MIN_COUNT, RULES_A_ROUND, HASH_BITS = 8, 4_000, 20
 MAGIC = 0x31525041_52454C47
 
 
 # --------------------------------------------------------------------- the grammar
-def compress(ids: np.ndarray, doc_starts: np.ndarray, base: int, max_rules: int | None = None, min_count: int = MIN_COUNT, rounds: int = ROUNDS):
+def compress(ids: np.ndarray, doc_starts: np.ndarray, base: int, max_rules: int | None = None, min_count: int = MIN_COUNT, rounds: int | None = None):
     """(symbols, rules [n, 2], expansion lengths, symbol offset of each document) of one shard.
 
     Each round counts all pairs by a hash, takes the most frequent exact pair of each frequent bucket and replaces its
-    occurrences from left to right; where chosen pairs overlap, every second one of the run is replaced.
+    occurrences from left to right; where chosen pairs overlap, every second one of the run is replaced.  It goes on until
+    no pair occurs min_count times; every round adds a rule, so it ends.
     """
     symbols = ids.astype(np.uint32)
     first = np.zeros(len(symbols), bool)
     first[doc_starts[doc_starts < len(symbols)]] = True
     limit = (1 << 16) - base if max_rules is None else max_rules
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.int64)
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         if len(symbols) < 2 or len(rules) >= limit:
             break
         left, right = symbols[:-1], symbols[1:]
         inside = ~first[1:]
         bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - HASH_BITS)
-        count = np.bincount(bucket[inside], minlength=1 << HASH_BITS)
-        often = np.flatnonzero(count >= min_count)
-        if len(often) > RULES_A_ROUND:
-            often = often[np.argsort(-count[often], kind="stable")[:RULES_A_ROUND]]
-        wanted = np.zeros(1 << HASH_BITS, bool)
-        wanted[often] = True
-        at = np.flatnonzero(wanted[bucket] & inside)
-        if not len(at):
-            break
-        code = left[at].astype(np.uint64) << np.uint64(32) | right[at]
-        pairs, n = np.unique(code, return_counts=True)
-        order = np.argsort(-n, kind="stable")[: min(RULES_A_ROUND, limit - len(rules))]
-        order = order[n[order] >= min_count]
+        filled = np.bincount(bucket[inside], minlength=1 << HASH_BITS)
+        often = np.flatnonzero(filled >= min_count)
+        often = often[np.argsort(-filled[often], kind="stable")]
+        # The fullest buckets may hold only rare pairs that share a hash: then all frequent ones are looked at.
+        order = np.zeros(0, np.int64)
+        for some in (often[:RULES_A_ROUND], often) if len(often) > RULES_A_ROUND else (often,):
+            wanted = np.zeros(1 << HASH_BITS, bool)
+            wanted[some] = True
+            at = np.flatnonzero(wanted[bucket] & inside)
+            code = left[at].astype(np.uint64) << np.uint64(32) | right[at]
+            pairs, n = np.unique(code, return_counts=True)
+            order = np.argsort(-n, kind="stable")[: min(RULES_A_ROUND, limit - len(rules))]
+            order = order[n[order] >= min_count]
+            if len(order):
+                break
         if not len(order):
             break
         chosen = np.sort(pairs[order])

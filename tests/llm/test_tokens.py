@@ -132,3 +132,17 @@ def test_token_shards(spark, tmp_path):
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
+
+
+def test_repair_goes_on_until_no_pair_pays():
+    rng = np.random.default_rng(3)
+    passage, other = rng.integers(0, 300, 640), lambda: rng.integers(300, 50_000, 40)
+    docs = [np.concatenate([other(), passage, other()]).astype(np.uint32) for _ in range(40)]
+    ids, starts = np.concatenate(docs), np.concatenate([[0], np.cumsum([len(d) for d in docs])[:-1]])
+    symbols, rules, lengths, at = repair.compress(ids, starts, repair.BASE)
+    inside = np.ones(len(symbols) - 1, bool)
+    inside[at[1:] - 1] = False
+    pairs = np.stack([symbols[:-1], symbols[1:]], 1)[inside]
+    assert np.unique(pairs, axis=0, return_counts=True)[1].max() < repair.MIN_COUNT and lengths.max() > 64
+    shard = repair.Shard(repair.write_shard(ids, starts))
+    assert all((a == b).all() for a, b in zip(shard.documents(), docs, strict=True)) and (shard.ids(7) == docs[7]).all()
