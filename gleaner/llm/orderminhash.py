@@ -1,7 +1,7 @@
 """Operator 4 [native]: Order MinHash fingerprints of documents, built-in functions only.
 
-A text is the sequence of its words (between white space; of its characters where words are very long on average, as
-in scripts without spaces).  Every k-mer, a run of K words, is numbered by its occurrence: the first gets the hash of
+A text is the sequence of its words (between white space; each very long word, as in scripts without spaces, gives its
+characters).  Every k-mer, a run of K words, is numbered by its occurrence: the first gets the hash of
 the k-mer, the j-th repetition a hash of (k-mer, j).  The hash space is cut into BINS equal parts, each a repetition of
 the sketch: of the numbered k-mers whose hash falls into a part the L smallest are kept, put back into text order and
 hashed as a tuple.  Two texts agree in a part if they keep the same k-mers in the same order, so the likeness, the share
@@ -27,7 +27,7 @@ from ._common import parts, range_of, splitters, with_text
 
 BINS_BITS, L, K = 6, 2, 3
 POSITION_BITS = 24
-#: Mean characters a word above which a text is taken character by character.
+#: Characters above which a word is taken character by character.
 LONG_WORDS = 24
 HASH_MASK, POSITION_MASK = -(1 << POSITION_BITS), (1 << POSITION_BITS) - 1
 
@@ -47,7 +47,10 @@ def _bin(x: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     by_word = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    return let(by_word, lambda w: F.when(F.char_length(text) > LONG_WORDS * F.size(w), F.split(text, "")).otherwise(w))
+    is_long = lambda w: F.char_length(w) > LONG_WORDS
+    cut = lambda words: F.flatten(F.transform(words, lambda w: F.when(is_long(w), F.split(w, "")).otherwise(F.array(w))))
+    # Each word is judged by itself: an edit elsewhere in the text does not change how it is cut.
+    return let(by_word, lambda words: F.when(F.exists(words, is_long), cut(words)).otherwise(words))
 
 
 def kmers(words: Column, k: int) -> Column:

@@ -235,3 +235,13 @@ def test_licenses_among_other_words_and_over_lines(spark):
     got = {r.doc_id: r.own_license for r in licenses.scan(df).collect()}
     assert [got[i] for i in range(len(said))] == [x for _, x in said]
     assert all(got[100 + i] == ("MIT", "Apache-2.0", "CC-BY-NC-4.0")[i % 3] for i in range(240))
+
+
+def test_order_minhash_cuts_long_words_by_themselves(spark):
+    rng = np.random.default_rng(5)
+    spaceless = "".join(chr(c) for c in rng.integers(0x4E00, 0x9000, 600))
+    prose = " ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(60))
+    df = spark.createDataFrame([(spaceless, spaceless[:300] + prose, "ab " + spaceless[:30])], "a string, b string, c string")
+    row = df.select(orderminhash.likeness(orderminhash.sketch(F.col("a")), orderminhash.sketch(F.col("b"))).alias("near"), orderminhash.tokens(F.col("c")).alias("words")).first()
+    assert row.near > 0.1
+    assert row.words == ["ab", *spaceless[:30]]
