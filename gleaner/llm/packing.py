@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ._common import steps, strings, with_text
-from .pieces import cut_at_spaces, encoder
+from ._common import steps, utf8, with_text
+from .pieces import ENCODE_BYTES, cut_at_spaces, encoder
 
 WINDOW, SMALLEST = 2048, 256
 END_ID = 1
@@ -176,9 +176,9 @@ def pack_documents(df: DataFrame, path: str, end_id: int = END_ID, window: int =
             kinds = [schema.field("doc_id").type, *[pa.int64()] * 6, pa.int32(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-        for step in steps(batches):
+        for step in steps(batches, step_bytes=ENCODE_BYTES):
             schema = step.schema
-            ids, offsets = e.encode(strings(step.column("text")))
+            ids, offsets = e.encode(*utf8(step.column("text")))
             ids = ids.astype("<u4")
             for i, doc_id in enumerate(step.column("doc_id").to_pylist()):
                 packer.add(doc_id, np.append(ids[offsets[i] : offsets[i + 1]], np.array(end_id, "<u4")))

@@ -26,8 +26,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import parts, range_of, shared_dir, splitters, steps, strings, with_text
-from .pieces import cut_before_spaces, encoder
+from ._common import parts, range_of, shared_dir, splitters, steps, utf8, with_text
+from .pieces import ENCODE_BYTES, cut_before_spaces, encoder
 
 VOCABULARY, END_ID, BASE = "byte_bpe_50k.json", 2, 50_257
 SHARD_IDS = 1 << 19
@@ -194,8 +194,8 @@ def write(df: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, base:
             block, start, held, count = block + 1, start + len(ids), [], 0
             return out
 
-        for step in steps(batches):
-            ids, offsets = e.encode(strings(step.column("text")))
+        for step in steps(batches, step_bytes=ENCODE_BYTES):
+            ids, offsets = e.encode(*utf8(step.column("text")))
             for i, (r, doc_id) in enumerate(zip(step.column("range").to_pylist(), step.column("doc_id").to_pylist(), strict=True)):
                 if r != now:
                     if held:

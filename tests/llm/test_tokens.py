@@ -8,11 +8,13 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 from gleaner.llm import bpe, packing, pieces, repair
+from gleaner.llm._common import utf8
 
 AWKWARD = [
     None, "", " ", "a", "a  b \n c\n\n d\t e  ", "  x", "it's 'sabc !'s  12 3　 k", "ſ Σας ΑΣ <|endoftext|> <|startoftext|>", "é ́x a b\x1cc", "The.\nWas, it. a.\n b.\nc, \nd.,\ne\n",
@@ -54,12 +56,14 @@ def test_byte_bpe(spark):
 def test_piece_encoder_equals_library():
     rng = random.Random(6)
     texts = [t or "" for t in AWKWARD] + ["!\x1c!", "é.x\u0301y", "ΟΔΟΣ ΑΣ.", "a\u0085b", "_x_ __ a_b ²3 ①x Ⅷ"]
+    # White space beyond ASCII, and letters whose last bytes look like it, before and behind cuts.
+    texts += [f"{a}{w}{s}{b}" for a in ("x", "é", "à", "。", "Ѡ", "") for w in ("\u00a0", "\u0085", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "") for s in (" ", "\n", " \n ", "  ") for b in ("y", "\u0301z", "'s", "")]
     texts += ["".join(rng.choice("ab.,!_1² \n\tÉñ\u0301İΣ'") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
     for name, cut in (("byte_bpe_50k.json", pieces.cut_before_spaces), ("word_bpe_49k.json", pieces.cut_at_spaces)):
         e = pieces.PieceEncoder(P.path(name), cut, keep=5)
         want = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
         for _ in range(3):
-            ids, at = e.encode(texts)
+            ids, at = e.encode(*utf8(pa.array(texts)))
             assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == want
 
 
