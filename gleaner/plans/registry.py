@@ -168,16 +168,13 @@ def rank_candidates(spark, sf):
 
 
 @query(f"""WITH b AS (SELECT event_id, ts, value, {_BUCKET_SQL} AS bucket FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY value DESC, event_id) AS rk FROM b WHERE bucket IS NOT NULL),
- n AS (SELECT least(count(*) FILTER (bucket = 'recent'), 8) AS recent FROM b)
- SELECT event_id, bucket, row_number() OVER (ORDER BY CASE bucket WHEN 'recent' THEN 0 ELSE 1 END, rk) AS place FROM r, n WHERE (bucket = 'recent' AND rk <= 8) OR (bucket = 'fallback' AND rk <= greatest(12 - recent, 0))""")
+ n AS (SELECT least(count(*) FILTER (bucket = 'recent'), 20) AS recent, least(count(*) FILTER (bucket = 'fallback'), 20) AS older FROM b),
+ m AS (SELECT recent, greatest(12 - recent, 0) AS room, greatest(12 - recent - least(older, greatest(12 - recent, 0)), 0) AS undated FROM n)
+ SELECT event_id, bucket, row_number() OVER (ORDER BY CASE bucket WHEN 'recent' THEN 0 WHEN 'fallback' THEN 1 ELSE 2 END, rk) AS place FROM r, m
+ WHERE (bucket = 'recent' AND rk <= 20) OR (bucket = 'fallback' AND rk <= room) OR (bucket = 'unknown' AND rk <= least(undated, 2))""")
 def topk_backfill(spark, sf):
     events = table(spark, sf, "events").select("event_id", "value", clock.bucket(F.col("ts"), now(), 7, 21).alias("bucket"))
-    ranked = events.withColumn("bucket", F.col("bucket"))
-    # Recent rows are few on purpose: the back-fill has to work.
-    order = [F.desc("value"), F.asc("event_id")]
-    recent = Window.partitionBy("bucket").orderBy(*order)
-    ranked = ranked.withColumn("__k", F.row_number().over(recent)).where("bucket <> 'recent' or __k <= 8").drop("__k")
-    return select.backfill(ranked, order, minimum=12, maximum=20).select("event_id", "bucket", "place")
+    return select.backfill(events, [F.desc("value"), F.asc("event_id")], minimum=12, maximum=20).select("event_id", "bucket", "place")
 
 
 @query("""WITH c AS (SELECT event_id, value, event_type, row_number() OVER (PARTITION BY CASE WHEN event_type IN ('purchase', 'click', 'view') THEN event_type END ORDER BY value DESC, event_id) AS rk FROM events),
@@ -188,7 +185,10 @@ def quota_topk(spark, sf):
     return select.quota(table(spark, sf, "events").select("event_id", "event_type", "value"), [F.desc("value"), F.asc("event_id")], klass, {"purchase": 3, "click": 2, "view": 2}, 15).select("event_id", "event_type", "place")
 
 
-@query()
+#: A leader's group ends fourteen days before it, exactly, as the floor is taken before the sign is dropped.
+@query("""WITH RECURSIVE l AS (SELECT user_id, event_type, arg_min(event_id, struct_pack(a := -epoch_us(ts), b := event_id)) AS leader, max(ts) AS ts FROM events GROUP BY 1, 2
+ UNION ALL SELECT e.user_id, e.event_type, arg_min(e.event_id, struct_pack(a := -epoch_us(e.ts), b := e.event_id)), max(e.ts) FROM l JOIN events e ON e.user_id = l.user_id AND e.event_type = l.event_type AND e.ts < l.ts - INTERVAL 14 DAY GROUP BY 1, 2)
+ SELECT leader, count(*) AS n FROM l JOIN events e ON e.user_id = l.user_id AND e.event_type = l.event_type AND e.ts <= l.ts AND e.ts >= l.ts - INTERVAL 14 DAY GROUP BY 1""")
 def event_dedupe_greedy(spark, sf):
     """Greedy event equality: notices of one buyer and kind within fourteen floored days are one event."""
     e = table(spark, sf, "events").select(
@@ -199,20 +199,26 @@ def event_dedupe_greedy(spark, sf):
     return blocks.groupBy("leader").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH h AS (SELECT page_id, {_HOST_SQL} AS host, page_id % 20 AS place FROM pages), f AS (SELECT *, row_number() OVER (PARTITION BY place, host ORDER BY page_id) AS k FROM h WHERE page_id >= 20),
- r AS (SELECT f.place, f.page_id, row_number() OVER (PARTITION BY f.place ORDER BY CASE WHEN f.k = 1 AND f.host <> p.host AND f.host <> '' THEN 0 ELSE 1 END, f.page_id) AS extra FROM f JOIN h p ON p.page_id = f.place)
+_PATH = r"^[^:/?#]+://[^/?#]*/([a-z]+/[0-9]+)"
+
+
+@query(f"""WITH h AS (SELECT page_id, {_HOST_SQL} AS host, regexp_extract(url, '{_PATH}', 1) AS path FROM pages), p AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY page_id) = 1 AS leads FROM h WHERE path <> ''),
+ f AS (SELECT *, row_number() OVER (PARTITION BY path, host ORDER BY page_id) AS k FROM p WHERE NOT leads),
+ r AS (SELECT l.page_id AS place, f.page_id, row_number() OVER (PARTITION BY f.path ORDER BY CASE WHEN f.k = 1 AND f.host <> l.host AND f.host <> '' THEN 0 ELSE 1 END, f.page_id) AS extra FROM f JOIN p l ON l.path = f.path AND l.leads)
  SELECT place, page_id, extra FROM r WHERE extra <= 2""")
 def corroborating_topk(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "url", (F.col("page_id") % 20).alias("place"))
-    first = pages.where("page_id < 20").select("place", F.col("url").alias("primary_url"))
-    return select.corroborating(pages.where("page_id >= 20").join(first, "place").withColumn("rank_pos", F.col("page_id"))).select("place", "page_id", "extra")
+    """Pages of one path are reports of one matter: the first of each leads, two others at most corroborate it."""
+    pages = table(spark, sf, "pages").select("page_id", "url", F.regexp_extract("url", _PATH, 1).alias("path")).where("path <> ''")
+    first = pages.groupBy("path").agg(F.min("page_id").alias("place"), F.min_by("url", "page_id").alias("primary_url"))
+    others = pages.join(first, "path").where("page_id <> place").withColumn("rank_pos", F.col("page_id"))
+    return select.corroborating(others).select("place", "page_id", "extra")
 
 
 # --------------------------------------------------------------------- verification
-@query("SELECT doc_id, item_id FROM documents d JOIN (SELECT item_id, substr(text, 1, 60) AS quote FROM benchmark WHERE trim(text) <> '') b ON contains(d.text, b.quote)")
+@query("SELECT doc_id, item_id FROM documents d JOIN (SELECT item_id, text AS quote FROM benchmark WHERE trim(text) <> '') b ON contains(d.text, b.quote)")
 def evidence_grounding(spark, sf):
-    """Documents in which a benchmark quote stands."""
-    quotes = table(spark, sf, "benchmark").where(F.trim("text") != "").select("item_id", F.substring("text", 1, 60).alias("quote"))
+    """Documents in which a whole benchmark text stands."""
+    quotes = table(spark, sf, "benchmark").where(F.trim("text") != "").select("item_id", F.col("text").alias("quote"))
     return verify.groundings(table(spark, sf, "documents").select("doc_id", "text"), quotes, "doc_id", "text", "item_id", "quote")
 
 
@@ -300,14 +306,16 @@ def financing_merge(spark, sf):
     return state.merge_financings(rows.join(folded, "pos"), F.col("financing"), "o_orderdate", "amount", "source").withColumn("sources", F.array_join("sources", ","))
 
 
-@query(f"""WITH o AS (SELECT CAST(user_id AS VARCHAR) AS url, max(ts) AS first_seen FROM events WHERE event_type = 'error' GROUP BY 1), n AS (SELECT CAST(user_id AS VARCHAR) AS url, arg_max(event_type, event_id) AS reason, count(*) AS more FROM events WHERE event_type IN ('view', 'click') AND user_id % 3 <> 0 GROUP BY 1),
- g AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS url FROM events WHERE event_type = 'purchase' AND user_id % 2 = 0)
+@query(f"""WITH o AS (SELECT CAST(user_id AS VARCHAR) AS url, max(ts) AS first_seen FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1), n AS (SELECT CAST(user_id AS VARCHAR) AS url, arg_max(event_type, event_id) AS reason, count(*) AS more FROM events WHERE event_type IN ('view', 'click') AND ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
+ g AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS url FROM events WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-29 00:00:00')
  SELECT coalesce(o.url, n.url) AS url, coalesce(n.reason, 'error') AS reason, CASE WHEN o.url IS NULL THEN 0 ELSE 1 END + coalesce(n.more, 0) AS attempts, coalesce(o.first_seen, {NOW_SQL}) AS first_seen FROM o FULL JOIN n ON o.url = n.url WHERE coalesce(o.url, n.url) NOT IN (SELECT url FROM g)""")
 def pending_upsert(spark, sf):
+    """Errors of the first half of the month are the old leads, views and clicks since then the new ones, late purchases resolve."""
     e = table(spark, sf, "events").withColumn("url", F.col("user_id").cast("string"))
-    old = e.where("event_type = 'error'").groupBy("url").agg(F.lit("error").alias("reason"), F.lit(1).cast("long").alias("attempts"), F.max("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
-    new = e.where("event_type in ('view', 'click') and user_id % 3 <> 0").select("url", F.col("event_type").alias("reason"), F.col("event_id").alias("pos"))
-    done = e.where("event_type = 'purchase' and user_id % 2 = 0").select("url")
+    middle, late = (F.expr(f"TIMESTAMP_NTZ '2024-01-{d} 00:00:00'") for d in (15, 29))
+    old = e.where((F.col("event_type") == "error") & (F.col("ts") < middle)).groupBy("url").agg(F.lit("error").alias("reason"), F.lit(1).cast("long").alias("attempts"), F.max("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
+    new = e.where(F.col("event_type").isin("view", "click") & (F.col("ts") >= middle)).select("url", F.col("event_type").alias("reason"), F.col("event_id").alias("pos"))
+    done = e.where((F.col("event_type") == "purchase") & (F.col("ts") >= late)).select("url")
     return state.resolve_pending(state.upsert_pending(old, new, now()), done).select("url", "reason", "attempts", "first_seen")
 
 
@@ -391,7 +399,9 @@ def html_date_evidence(spark, sf):
     return html.page_rows(table(spark, sf, "pages"), "page_id", "html")
 
 
-@query()
+@query(f"""WITH x AS (SELECT CASE {_STAGE_SQL} WHEN 'award' THEN 0 WHEN 'tender' THEN 1 ELSE 2 END AS section, event_id AS pos, {_STAGE_SQL} || ' ' || user_id AS line FROM events)
+ SELECT section, pos, line FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY section, pos) AS n FROM x) WHERE n = 1""")
 def report_sections(spark, sf):
+    """Each line once, in the first section that has it."""
     lines = staged(spark, sf).select(F.when(F.col("stage") == "award", 0).when(F.col("stage") == "tender", 1).otherwise(2).alias("section"), F.col("event_id").alias("pos"), F.concat_ws(" ", "stage", F.col("user_id").cast("string")).alias("line"))
     return report.first_sections(lines, "section", "pos", "line")

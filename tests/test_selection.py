@@ -52,6 +52,15 @@ def test_fold_is_greedy_not_transitive(spark):
         assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4}
 
 
+def test_backfill_takes_older_then_undated_rows_up_to_the_minimum(spark):
+    rows = [(i, b) for i, b in enumerate(["recent"] * 2 + ["fallback"] * 3 + ["unknown"] * 4 + [None])]
+    df = spark.createDataFrame(rows, "x int, bucket string")
+    shown = lambda **k: [r.x for r in select.backfill(df, [F.asc("x")], **k).orderBy("place").collect()]
+    assert shown(minimum=4, maximum=9) == [0, 1, 2, 3]
+    assert shown(minimum=8, maximum=9) == [0, 1, 2, 3, 4, 5, 6]
+    assert shown(minimum=1, maximum=1) == [0]
+
+
 def test_empty_input(spark):
     chosen, extra, counts = select.select_candidates(candidates(spark, []), F.to_timestamp(F.lit(NOW)))
     assert chosen.count() == 0 and extra.count() == 0 and counts.first().raw == 0
