@@ -36,41 +36,62 @@ MAGIC = 0x31525041_52454C47
 
 
 # --------------------------------------------------------------------- the grammar
+def frequent(left: np.ndarray, right: np.ndarray, min_count: int):
+    """Yields (places of pairs, are all frequent ones among them): the fullest hash buckets first, then all full ones.
+
+    The fullest buckets may hold only rare pairs that share a hash, so the caller may have to go on.
+    """
+    if len(left) <= 1 << (HASH_BITS - 3):
+        yield np.arange(len(left)), True
+        return
+    bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - HASH_BITS)
+    filled = np.bincount(bucket, minlength=1 << HASH_BITS)
+    often = np.flatnonzero(filled >= min_count)
+    often = often[np.argsort(-filled[often], kind="stable")]
+    for some in (often[:RULES_A_ROUND], often) if len(often) > RULES_A_ROUND else (often,):
+        wanted = np.zeros(1 << HASH_BITS, bool)
+        wanted[some] = True
+        yield np.flatnonzero(wanted[bucket]), len(some) == len(often)
+
+
 def compress(ids: np.ndarray, doc_starts: np.ndarray, base: int, max_rules: int | None = None, min_count: int = MIN_COUNT, rounds: int | None = None):
     """(symbols, rules [n, 2], expansion lengths, symbol offset of each document) of one shard.
 
-    Each round counts all pairs by a hash, takes the most frequent exact pair of each frequent bucket and replaces its
-    occurrences from left to right; where chosen pairs overlap, every second one of the run is replaced.  It goes on until
-    no pair occurs min_count times; every round adds a rule, so it ends.
+    Each round counts pairs by a hash, takes the most frequent exact pair of each frequent bucket and replaces its
+    occurrences from left to right; where chosen pairs overlap, every second one of the run is replaced.  Only pairs
+    with a symbol of the round before can have become frequent, so a round that left no frequent pair out is followed
+    by one that looks at those alone; what it may have left is found by the last rounds, which count all pairs.  It goes
+    on until no pair occurs min_count times; every round adds a rule, so it ends.
     """
     symbols = ids.astype(np.uint32)
     first = np.zeros(len(symbols), bool)
     first[doc_starts[doc_starts < len(symbols)]] = True
     limit = (1 << 16) - base if max_rules is None else max_rules
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.int64)
+    fresh_from: int | None = None  # the first symbol of the round before, where only those matter
     for _ in count() if rounds is None else range(rounds):
         if len(symbols) < 2 or len(rules) >= limit:
             break
-        left, right = symbols[:-1], symbols[1:]
-        inside = ~first[1:]
-        bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - HASH_BITS)
-        filled = np.bincount(bucket[inside], minlength=1 << HASH_BITS)
-        often = np.flatnonzero(filled >= min_count)
-        often = often[np.argsort(-filled[often], kind="stable")]
-        # The fullest buckets may hold only rare pairs that share a hash: then all frequent ones are looked at.
-        order = np.zeros(0, np.int64)
-        for some in (often[:RULES_A_ROUND], often) if len(often) > RULES_A_ROUND else (often,):
-            wanted = np.zeros(1 << HASH_BITS, bool)
-            wanted[some] = True
-            at = np.flatnonzero(wanted[bucket] & inside)
-            code = left[at].astype(np.uint64) << np.uint64(32) | right[at]
+        look = ~first[1:]
+        if fresh_from is not None:
+            fresh_symbol = symbols >= fresh_from
+            look &= fresh_symbol[:-1] | fresh_symbol[1:]
+        look = np.flatnonzero(look)
+        left, right = symbols[look], symbols[look + 1]
+        order, left_out = np.zeros(0, np.int64), False
+        for some, complete in frequent(left, right, min_count):
+            at, code = look[some], left[some].astype(np.uint64) << np.uint64(32) | right[some]
             pairs, n = np.unique(code, return_counts=True)
             order = np.argsort(-n, kind="stable")[: min(RULES_A_ROUND, limit - len(rules))]
+            left_out = not complete or (n >= min_count).sum() > len(order)
             order = order[n[order] >= min_count]
             if len(order):
                 break
         if not len(order):
-            break
+            if fresh_from is None:
+                break
+            fresh_from = None
+            continue
         chosen = np.sort(pairs[order])
         place = np.minimum(np.searchsorted(chosen, code), len(chosen) - 1)
         hit = chosen[place] == code
@@ -84,6 +105,7 @@ def compress(ids: np.ndarray, doc_starts: np.ndarray, base: int, max_rules: int
         fresh = chosen[used]
         new = np.stack([fresh >> np.uint64(32), fresh & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         symbols[at] = base + len(rules) + place
+        fresh_from = None if left_out else base + len(rules)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, first = symbols[keep], first[keep]
