@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step holds (each byte costs some tens of bytes of scratch arrays).
 STEP_BYTES = 1 << 18
+#: Bytes of one batch between Spark and Python: 10,000 long texts would else be held together on both sides.
+BATCH_BYTES = 8 << 20
 
 
 # --------------------------------------------------------------------- shared storage
@@ -39,8 +41,17 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch in this session, unless it already has a lower bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = (spark.conf.get(key, None) or "").rstrip("b")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def with_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns that an operator reads, under fixed names; other columns cannot clash."""
+    small_batches(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 

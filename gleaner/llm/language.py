@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import code_points, mix, steps, strings, with_text
+from ._common import code_points, mix, small_batches, steps, strings, with_text
 
 ORDER = 4
 UNKNOWN = "und"
@@ -273,6 +273,7 @@ def predict(df: DataFrame, model: Model, slack: float = SLACK, id_col: str = "do
 
 def reject(df: DataFrame, model: Model, slack: float = SLACK) -> DataFrame:
     """The rows of df that are not rejected, all columns kept."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

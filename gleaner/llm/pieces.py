@@ -229,13 +229,13 @@ class Table:
 class PieceEncoder:
     """Encodes texts piece by piece; knows the ids of the pieces met lately, at most about `keep` of them."""
 
-    def __init__(self, path: str, cut, keep: int = 1 << 20):
+    def __init__(self, path: str, cut, keep: int = 400_000):
         self.tokenizer, self.merges, self.cut, self.keep = tokenizer(path), Merges(path), cut, keep
         self.forget()
 
     def forget(self) -> None:
         self.table = Table()
-        self.start, self.size, self.flat, self.ids = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.uint32), 0
+        self.start, self.size, self.flat, self.ids = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.uint8), np.zeros(1 << 10, np.uint32), 0
 
     def by_library(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
@@ -291,7 +291,7 @@ class PieceEncoder:
             first[1:] = (keys[order[1:]] != keys[order[:-1]]).any(1)
             self.learn(keys[order[first]], slow[at[order[first]]])
             rows[new] = self.table.find(keys[new])
-        where, sizes = self.start[rows], self.size[rows]
+        where, sizes = self.start[rows].astype(np.int64), self.size[rows].astype(np.int64)
         flat = self.flat
         if not short.all():  # long pieces hardly come again: their ids serve this call only
             pieces = [data[a : a + k].tobytes() for a, k in zip(start[~short].tolist(), length[~short].tolist(), strict=True)]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import code_points, owners, steps, strings, with_text
+from ._common import code_points, owners, small_batches, steps, strings, with_text
 
 ORDERS = (3, 4, 5)
 BUCKET_BITS = 20
@@ -165,6 +165,7 @@ def score(df: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str
 
 def reject(df: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of df whose score stays below the threshold, all columns kept."""
+    small_batches(df.sparkSession)
     shared, names = df.sparkSession.sparkContext.broadcast(model), df.columns
 
     def run(batches):
