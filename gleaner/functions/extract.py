@@ -150,3 +150,111 @@ def analysis(text: Column) -> Column:
         financing_round(text).alias("financing_round"), financing_amount(text).alias("financing_amount"), date(text).alias("published"), deadlines(text).alias("deadlines"),
         excluded_financing(text).alias("excluded"), first_line(text).alias("title_line"),
     )
+
+
+# --------------------------------------------------------------------- where an event belongs
+# Places, cues and markers that decide whether an event is domestic and which part it concerns.
+PLACES = ("北京", "上海", "深圳", "广州", "天津", "重庆", "合肥", "西安", "成都", "武汉", "南京", "杭州", "苏州", "无锡")
+DOMESTIC_CUES = ("中国境内", "我国境内", "国内项目")
+SUBJECT_CUES = (*DOMESTIC_CUES, "中国商业航天企业", "国内商业航天企业")
+FOREIGN_CUES = ("美国", "美军", "美国国防部", "英国", "俄罗斯", "俄军", "法国", "德国", "日本", "韩国", "印度", "以色列", "乌克兰", "北约", "欧盟", "境外", "国外")
+PROCUREMENT_TERMS = ("采购意向", "采购", "招标", "询价", "比选", "变更", "延期", "终止", "候选", "中标", "废标", "重新招标", "tender", "procurement", "award")
+PURPOSES = ("用于", "应用于", "面向", "服务于", "配套")
+SUBSYSTEMS = ("跟瞄", "捕获跟踪", "转台", "指向机构", "激光器", "探测器", "光机组件")
+_PLACED = rf"(?:{'|'.join(PLACES)})(?:市)?[\x{{4e00}}-\x{{9fff}}A-Za-z0-9·]{{2,40}}"
+_ENTITY = rf"{_PLACED}?(?:股份有限公司|有限责任公司|有限公司|公安局|部队|单位|研究院|研究所|中心|大学)"
+
+
+def _has(text: Column, terms) -> Column:
+    return F.coalesce(text.rlike("|".join(terms)), F.lit(False))
+
+
+def approved_source(host: Column) -> Column:
+    return F.coalesce(host.rlike(r"\.(?:gov|mil)\.cn$"), F.lit(False))
+
+
+def domestic_signal(text: Column) -> Column:
+    patterns = (*DOMESTIC_CUES, r"(?:中国|我国|国内).{0,8}(?:企业|机构|单位|政府|军队|项目)", rf"{_PLACED}(?:有限公司|研究院|研究所|公安局|大学|中心)")
+    return _has(text, patterns)
+
+
+def foreign_signal(text: Column) -> Column:
+    return _has(text, FOREIGN_CUES)
+
+
+def event_action(text: Column) -> Column:
+    """The text speaks of a procurement or a financing."""
+    return _has(F.regexp_replace(F.lower(text), r"(?U)\s+", ""), [t.replace(" ", "") for t in (*PROCUREMENT_TERMS, *FINANCING_TERMS)])
+
+
+def subject_quote(text: Column) -> Column:
+    """The domestic body that a text names: companies first, then offices, institutes and universities; shorter ones first."""
+    ends = lambda x, *options: x.rlike(f"(?:{'|'.join(options)})$")
+    rank = lambda x: F.when(ends(x, "有限公司", "有限责任公司"), 0).when(ends(x, "公安局", "部队", "单位"), 1).when(ends(x, "研究院", "研究所", "中心"), 2).otherwise(3)
+    found = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
+    return F.array_min(F.transform(found, lambda x: F.struct(rank(x).alias("rank"), F.char_length(x).alias("n"), x.alias("quote"))))["quote"]
+
+
+def strong_subject(text: Column) -> Column:
+    return event_action(text) & (subject_quote(text).isNotNull() | _has(text, SUBJECT_CUES))
+
+
+def domestic_subject(title: Column, lead_text: Column, approved: Column) -> Column:
+    """Is the event domestic: the title decides first, then the lead, then weaker signs or an approved source."""
+    foreign = lambda c: foreign_signal(c) & event_action(c)
+    weak = (domestic_signal(lead_text) | approved) & ~foreign_signal(lead_text)
+    return F.when(strong_subject(title), True).when(foreign(title), False).when(strong_subject(lead_text), True).when(foreign(lead_text), False).otherwise(weak)
+
+
+def first_domestic_line(text: Column) -> Column:
+    lines = F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(x))
+    return F.get(F.filter(lines, lambda x: (x != "") & domestic_signal(x) & ~foreign_signal(x)), F.lit(0))
+
+
+def excluded(text: Column) -> Column:
+    """No equity financing: an excluded term, bank credit, or the refinancing of a listed company."""
+    said = F.lower(text)
+    bank = said.contains("银行") & _has(said, ("授信", "贷款", "信贷", "借款"))
+    listed = said.contains("上市公司") & _has(said, ("再融资", "定向增发", "配股", "可转债"))
+    return excluded_financing(text) | bank | listed
+
+
+def parent_purpose(text: Column, category_: str) -> Column:
+    """A part is said to be for a system of the category."""
+    parents = "|".join(t.replace(" ", "") for t in dict(CATEGORIES).get(category_, FINANCING_SUBJECTS))
+    said = F.regexp_replace(F.lower(text), r"(?U)\s+", "")
+    return F.coalesce(said.rlike(rf"(?:{'|'.join(PURPOSES)})(?:{parents})|(?:{parents})配套(?:{'|'.join(SUBSYSTEMS)})"), F.lit(False))
+
+
+def page_date(publication_quote: Column, text: Column) -> Column:
+    """The date of a page: what its metadata says, else the first date of its text."""
+    return F.coalesce(date(publication_quote), date(text))
+
+
+# --------------------------------------------------------------------- sentences
+STAGE_PHRASES = {
+    "procurement_intention": "发布采购意向", "tender": "启动招标采购", "inquiry": "启动询价采购", "comparison": "启动比选采购", "award": "公布中标结果",
+    "candidate": "公布候选结果", "change": "发布采购变更", "termination": "终止采购",
+}
+
+
+def composed_summary(category_: Column, title: Column, organization_: Column, event_type_: Column, amount: Column, round_: Column, investors: Column, area: Column, supplier_: Column, awarded: Column, limit: int = 120) -> Column:
+    """One sentence of facts about a financing or a procurement."""
+    told = lambda lead_, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(lead_), c)).otherwise("")
+    subject = F.trim(F.coalesce(F.nullif(organization_, F.lit("")), title))
+    some = F.array_join(F.slice(F.coalesce(investors, F.array().cast("array<string>")), 1, 3), "、")
+    financed = F.concat(subject, F.lit("完成"), F.coalesce(F.nullif(round_, F.lit("")), F.lit("股权融资")), told("，披露金额", amount), told("，投资方包括", some), told("，资金及业务聚焦", area))
+    phrase = lx.mapped(event_type_, STAGE_PHRASES, F.lit("发布采购信息"))
+    paid = F.when(F.coalesce(awarded, F.lit("")) != "", F.concat(F.lit("，中标金额"), awarded)).otherwise(told("，项目金额", amount))
+    procured = F.concat(subject, phrase, told("，中标供应商为", supplier_), paid)
+    return F.substring(F.when(category_ == lx.FINANCING, financed).otherwise(procured), 1, limit)
+
+
+def brief_summary(summary: Column, body: Column, composed: Column, limit: int = 120) -> Column:
+    """The given summary, or the composed one where it is empty or copied from the start of the body."""
+    tidy = F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(summary, F.lit("")), r"(?U)\s+", " ")), r"^[ ，,。；;：:]+", ""), r"[ ，,。；;：:]+$", "")
+    bare = lambda c: F.lower(F.regexp_replace(c, r"(?U)\s+", ""))
+    opening = F.trim(F.regexp_replace(F.coalesce(body, F.lit("")), r"(?U)\s+", " "))
+    opening = bare(F.substring(opening, F.lit(1), F.greatest(F.lit(160), F.char_length(tidy) * 2)))
+    copied = opening.startswith(bare(tidy)) | ((F.char_length(bare(tidy)) >= 24) & opening.contains(bare(tidy)))
+    return F.substring(F.when((tidy == "") | copied, composed).otherwise(tidy), 1, limit)

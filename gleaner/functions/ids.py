@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import text
 from .urls import normalize_url
@@ -47,3 +49,16 @@ def event_id(fingerprint: Column, prefix: str = "gleaner:event:") -> Column:
 
 def pending_id(url: Column, reason: Column, prefix: str = "gleaner:pending:") -> Column:
     return uuid5(F.concat(F.lit(prefix), normalize_url(url), F.lit(":"), reason))
+
+
+@F.pandas_udf(T.StringType())
+def amount_text(amount: pd.Series) -> pd.Series:
+    """A number with fifteen significant digits, without closing zeros."""
+    return amount.map(lambda x: None if x is None or x != x else format(x, ".15g"))
+
+
+def project_id(organization: Column, codes: Column, title: Column, prefix: str = "gleaner:project:") -> Column:
+    """From the normal forms of organization and core title and the sorted project codes."""
+    clean = F.array_sort(F.array_distinct(F.transform(F.filter(F.coalesce(codes, F.array().cast("array<string>")), lambda c: c != ""), text.code)))
+    payload = F.struct(text.normalize_nfkc(organization).alias("organization"), clean.alias("project_codes"), text.core_title(title).alias("title"))
+    return uuid5(F.concat(F.lit(prefix), F.to_json(payload, {"ignoreNullFields": "false"})))

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import lexicon as lx
+from ..functions.extract import PLACES
+from .blocks import fold
 
 # What to ask for when a field lacks evidence.
 GAP_TERMS: Mapping[str, str] = {"organization": "采购人", "published_at": "发布时间", "amount": "金额", "round": "融资轮次", "investors": "投资方", "source": "官网"}
@@ -48,3 +56,160 @@ def no_new(trace: DataFrame, search: str, step: str, url: str) -> DataFrame:
     """(search, step, n_new): URLs that a step finds first; two steps of none in a row end a search."""
     first = trace.groupBy(search, url).agg(F.min(step).alias(step)).groupBy(search, step).agg(F.count("*").alias("n"))
     return trace.select(search, step).distinct().join(first, [search, step], "left").select(search, step, F.coalesce("n", F.lit(0)).cast("long").alias("n_new"))
+
+
+# --------------------------------------------------------------------- names and groups of leads
+# Descriptors around company names, legal suffixes, and what to ask for per gap.
+LEADING = ("商业航天企业", "商业航天公司", "星地激光通信企业", "空间激光通信企业", "激光通信企业", "火箭新锐公司", "航天新锐公司")
+TRAILING = ("商业航天企业", "商业航天公司", "商业航天", "星地激光通信企业", "空间激光通信企业", "激光通信企业", "激光通信")
+LEGAL = ("股份有限公司", "有限责任公司", "科技有限公司", "有限公司")
+GAP_QUERIES: Mapping[str, str] = {
+    "organization": "企业主体 公司全称", "published_at": "发布日期 发布时间 公告时间 官方披露", "amount": "融资金额 金额未披露 具体金额",
+    "financing_round": "融资轮次 Pre-A Pre-A+", "financing_subtype": "融资类型 战略投资 增资 并购", "investors": "投资方 领投 跟投",
+}
+
+
+def plain_aliases(value: str | None) -> list[str]:
+    """All names that a company may go by: full, without legal form, without its city, without 科技; sorted."""
+    name = re.sub(r"[\s·•（）()“”\"'，,：:丨|]+", "", unicodedata.normalize("NFKC", value or "").casefold())
+    name = re.sub(f"^(?:{'|'.join(LEADING)})+", "", name)
+    name = re.sub(f"(?:{'|'.join(TRAILING)})+$", "", name)
+    out = {name}
+    legal = next((s for s in LEGAL if name.endswith(s)), None)
+    if legal and (core := name.removesuffix(legal)):
+        out.add(core)
+        city = next((p for p in PLACES if core.startswith(p)), None)
+        if city and (short := core.removeprefix(city)):
+            out |= {short, short.removesuffix("科技") if len(short) > 3 else short}
+    return sorted(x for x in out if x)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def aliases(names: pd.Series) -> pd.Series:
+    return names.map(plain_aliases)
+
+
+def bare_name(value: Column) -> Column:
+    """A name without white space, brackets and its legal form, lower case."""
+    return F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)[\s·•（）()“”\"']", "")), "(?:有限责任公司|股份有限公司|有限公司|公司)$", "")
+
+
+def title_key(title: Column) -> Column:
+    return F.regexp_replace(F.lower(title), r"(?U)[\s*｜|_\-—:：·•（）()“”\"'，,]+", "")
+
+
+def same_target(left: dict, right: dict, financing: str = lx.FINANCING) -> bool:
+    """Two leads of one event: a shared alias, at most 7 days apart (30 for one round with fitting claims), same round or title."""
+    if left["category"] != right["category"] or left["event_type"] != right["event_type"] or not set(left["aliases"]) & set(right["aliases"]):
+        return False
+    if any(x["day"] is None or x["day"] != x["day"] for x in (left, right)):
+        return False
+    mine, theirs = set(left["rounds"]), set(right["rounds"])
+    amounts = left["amount"] and right["amount"] and left["amount"] != right["amount"]
+    investors = len(left["investors"]) and len(right["investors"]) and not set(left["investors"]) & set(right["investors"])
+    wide = left["category"] == financing and mine & theirs and not amounts and not investors
+    if abs(int(left["day"]) - int(right["day"])) > (30 if wide else 7):
+        return False
+    return bool(mine & theirs) if mine and theirs else left["title_key"] == right["title_key"]
+
+
+def group_targets(leads: DataFrame, pos: str, order: Sequence[str]) -> DataFrame:
+    """(pos, leader): leads of one event, greedily in rank order; leads without a shared alias can never meet.
+
+    leads: category, event_type, aliases, day (days since epoch), rounds, amount, investors (bare names), title_key.
+    """
+    return fold(leads, pos, F.col("aliases"), order, same_target)
+
+
+def group_keys(leads: DataFrame, groups: DataFrame, pos: str) -> DataFrame:
+    """(leader, target_key): shortest alias, categories, event types, rounds or the first title, earliest day."""
+    rows = leads.join(groups.withColumnRenamed("pos", pos), pos)
+    joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
+    shortest = lambda a: F.array_min(F.transform(a, lambda x: F.struct(F.char_length(x).alias("n"), x.alias("x"))))
+    out = rows.groupBy("leader").agg(
+        F.min(shortest(F.col("aliases"))).alias("name"), joined("category").alias("c"), joined("event_type").alias("e"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("rounds")))), ",").alias("r"),
+        F.min("title_key").alias("t"), F.date_from_unix_date(F.min("day").cast("int")).alias("d"),
+    )
+    detail = F.when(F.col("r") != "", F.col("r")).otherwise(F.concat(F.lit("title:"), "t"))
+    return out.select("leader", F.concat_ws("|", F.coalesce("name.x", F.lit("")), "c", "e", detail, F.coalesce(F.col("d").cast("string"), F.lit("date:unknown"))).alias("target_key"))
+
+
+# --------------------------------------------------------------------- official sites and queries
+def first_registered(host: Column, domains: Sequence[str]) -> Column:
+    """The first of the domains that the host is, or is below."""
+    out = F.lit(None).cast("string")
+    for d in reversed(domains):
+        out = F.when((host == d) | host.endswith("." + d), F.lit(d)).otherwise(out)
+    return out
+
+
+def matching_alias(value: Column, names: Sequence[str]) -> Column:
+    """The alias that a name equals, holds or is held in: equal ones first, then the shortest, then by text."""
+    own = bare_name(value)
+    each = [F.struct(F.when(bare_name(F.lit(a)) == own, 0).otherwise(1).alias("k"), F.lit(len(a)).alias("n"), F.lit(a).alias("a")) for a in names]
+    fits = F.filter(F.array(*each), lambda x: (own != "") & (bare_name(x["a"]) != "") & (own.contains(bare_name(x["a"])) | bare_name(x["a"]).contains(own)))
+    return F.array_min(fits)["a"]
+
+
+def alias_in_text(value: Column, names: Sequence[str]) -> Column:
+    """The shortest alias that a text holds."""
+    said = bare_name(value)
+    each = [F.struct(F.lit(len(a)).alias("n"), F.lit(a).alias("a")) for a in names]
+    return F.array_min(F.filter(F.array(*each), lambda x: (bare_name(x["a"]) != "") & said.contains(bare_name(x["a"]))))["a"]
+
+
+def official_clues(organization: Column, investors: Column, evidence: Column, candidate: Column, companies: Mapping[str, Sequence[str]], backers: Mapping[str, Sequence[str]]) -> Column:
+    """(domains, aliases, layers) of official sites: structured fields first, then quotes and the candidate's text."""
+    found = []
+
+    def add(domain, alias, layer):
+        found.append(F.when(alias.isNotNull(), F.array(F.struct(F.lit(domain).alias("d"), alias.alias("a"), F.lit(layer).alias("l")))))
+
+    for d, names in companies.items():
+        add(d, matching_alias(organization, names), "structured")
+
+    def invested(domain, names):
+        hits = F.filter(F.transform(F.coalesce(investors, F.array().cast("array<string>")), lambda i: matching_alias(i, names)), lambda x: x.isNotNull())
+        return F.transform(hits, lambda a: F.struct(F.lit(domain).alias("d"), a.alias("a"), F.lit("structured").alias("l")))
+
+    found += [invested(d, names) for d, names in backers.items()]
+    for registry in (backers, companies):
+        for d, names in registry.items():
+            add(d, alias_in_text(evidence, names), "evidence")
+            add(d, alias_in_text(candidate, names), "candidate")
+    every = F.flatten(F.array_compact(F.array(*found)))
+    pick = lambda f: F.array_distinct(F.transform(every, lambda x: x[f]))
+    return F.struct(pick("d").alias("domains"), pick("a").alias("aliases"), pick("l").alias("layers"))
+
+
+def gap_terms(gaps: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for kv in GAP_QUERIES.items() for x in kv])
+    return F.array_join(F.array_distinct(F.array_compact(F.transform(gaps, lambda g: table[g]))), " ")
+
+
+def target_gaps(category: Column, reason: Column, financing_gaps: Column, financing: str = lx.FINANCING) -> Column:
+    none = F.array().cast("array<string>")
+    return F.when(reason == "missing_required_fields:published_at", F.array(F.lit("published_at"))).when((category == financing) & (reason == "financing_missing_required_evidence"), financing_gaps).otherwise(none)
+
+
+def queries_for(category: Column, organization: Column, title: Column, round_: Column, investors: Column, gaps: Column, official: Column, used_domains: Column, media: Sequence[str], financing: str = lx.FINANCING) -> Column:
+    """Search texts for a lead in order of preference: the official site, media not used yet, then general ones."""
+    tidy = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r'(?U)["“”\s]+', " "))
+    words = lambda *cs: F.array_join(F.filter(F.array(*cs), lambda x: x != ""), " ")
+    event = words(tidy(organization), tidy(round_), F.lit("融资"))
+    named = F.array_join(F.slice(F.filter(F.transform(F.coalesce(investors, F.array().cast("array<string>")), tidy), lambda x: x != ""), 1, 3), " ")
+    asked = F.when(named != "", F.concat(named, F.lit(" 投资方"))).otherwise(F.lit("领投方 投资方"))
+    terms, site = gap_terms(gaps), F.get(official, F.lit(0))
+    first = F.when(site.isNotNull(), F.array(F.concat(event, F.lit(" "), terms, F.lit(" 官网 投资机构 官方披露 site:"), site))).otherwise(F.array().cast("array<string>"))
+    fresh = F.filter(F.array(*[F.lit(d) for d in media]).cast("array<string>"), lambda d: ~F.array_contains(used_domains, d))
+    more = F.transform(fresh, lambda d: F.concat(event, F.lit(" "), terms, F.lit(" "), asked, F.lit(" site:"), d))
+    rest = F.array(*[F.concat(event, F.lit(" "), terms, F.lit(" "), t) for t in (asked, F.lit("新闻 报道"), F.lit("权威媒体 融资公告"))])
+    matter = words(tidy(organization), tidy(title))
+    bought = F.array(*[F.concat(matter, F.lit(t)) for t in (" 官方公告", " 项目编号", " 中标 变更 延期 终止")])
+    every = F.when(category == financing, F.concat(first, more, rest)).when(category.isNotNull(), bought).otherwise(F.array().cast("array<string>"))
+    return F.transform(every, lambda q: F.concat(q, F.lit(" 最近90天 中国境内")))
+
+
+def query_key(query: Column) -> Column:
+    """Queries that differ in white space or case only are one."""
+    return F.lower(F.regexp_replace(query, r"(?U)\s+", ""))

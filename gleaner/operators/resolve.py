@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
+from datetime import date, timedelta
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -12,6 +14,15 @@ DAY_US = 86_400_000_000
 LIFECYCLE_MONTHS = 18
 
 
+def months_after(us: int, months: int) -> int:
+    """The same time of day so many calendar months later, the day cut to the month's length."""
+    days, rest = divmod(int(us), DAY_US)
+    day = date(1970, 1, 1) + timedelta(days=days)
+    year, month = divmod(day.year * 12 + day.month - 1 + months, 12)
+    later = date(year, month + 1, min(day.day, monthrange(year, month + 1)[1]))
+    return (later - date(1970, 1, 1)).days * DAY_US + rest
+
+
 def plain_match(event: dict, projects: list[dict], total: int) -> dict:
     """Decision for one event against the projects of its buyer; `total` counts all projects anywhere.
 
@@ -88,7 +99,7 @@ def fold_projects(events: DataFrame, order: str = "pos") -> DataFrame:
             else:
                 own = None
             if own:
-                own["span_end_us"] = own["latest_us"] + int(LIFECYCLE_MONTHS * 30.4375 * DAY_US)
+                own["span_end_us"] = months_after(own["latest_us"], LIFECYCLE_MONTHS)
             rows.append((e["pos"], own and own["id"], d["relation"], d["reason"], float(d["score"])))
         return pd.DataFrame(rows, columns=["pos", "project", "relation", "reason", "score"])
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import ids, text
 from ..functions import lexicon as lx
 
 
@@ -78,3 +79,73 @@ def merge_financings(reports: DataFrame, key: Column, when: str, amount: str, so
 def first_per(df: DataFrame, key: Column, *order: Column) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
+# --------------------------------------------------------------------- rows of the state
+DEADLINES = ("registration", "bid_submission", "opening")
+
+
+def deadline_state(deadlines: Column, precision: Column, evidence: Column) -> Column:
+    """(deadlines, evidence, precision) maps of the known deadlines; evidence is an array of field, quote, source_url."""
+    known = F.map_filter(deadlines, lambda k, v: k.isin(*DEADLINES) & v.isNotNull())
+    quotes = F.map_from_entries(F.transform(F.array_distinct(F.transform(F.filter(evidence, lambda e: e["field"].endswith("_deadline")), lambda e: e["field"])), lambda f: F.struct(F.regexp_replace(f, "_deadline$", "").alias("k"), F.element_at(F.filter(evidence, lambda e: e["field"] == f), -1).alias("v"))))
+    within = lambda m: F.map_filter(m, lambda k, v: F.map_contains_key(known, k))
+    return F.struct(known.alias("deadlines"), within(quotes).alias("evidence"), within(precision).alias("precision"))
+
+
+def supported_deadlines(deadlines: Column, evidence: Column, precision: Column) -> Column:
+    return F.map_filter(deadlines, lambda k, v: k.isin(*DEADLINES) & F.map_contains_key(evidence, k) & F.map_contains_key(precision, k))
+
+
+def overlaid(old: Column, new: Column) -> Column:
+    """The old map with the values of the new one where that has the key."""
+    return F.map_zip_with(old, new, lambda k, x, y: F.coalesce(y, x))
+
+
+def event_rows(notices: DataFrame, prefix: str = "gleaner:event:") -> DataFrame:
+    """Formal events of verified notices: version, fingerprint, id and seen times.
+
+    notices: event_type, published_at, source_url, title, content_hash, discovered_at and any other columns of an event.
+    """
+    version = ids.version_id(F.col("source_url"), F.col("content_hash"))
+    out = notices.withColumn("content_version_id", version)
+    out = out.withColumn("fingerprint", ids.event_fingerprint(F.col("event_type"), F.col("published_at"), F.col("source_url"), F.col("title"), F.col("content_version_id")))
+    return out.withColumn("event_id", ids.event_id(F.col("fingerprint"), prefix)).withColumn("first_seen_at", F.col("discovered_at")).withColumn("updated_at", F.col("discovered_at"))
+
+
+def new_projects(events: DataFrame) -> DataFrame:
+    """One project row for each event that opens a project.
+
+    events: event_id, title, organization, category, event_type, published_at, project_codes, amount, source_url,
+    first_seen_at, updated_at.
+    """
+    return events.select(
+        ids.project_id(F.col("organization"), F.col("project_codes"), F.col("title")).alias("project_id"), F.col("title").alias("name"), "organization", "category", F.coalesce(status_of(F.col("event_type")), F.lit("open")).alias("status"),
+        F.array("event_id").alias("event_ids"), "project_codes", text.normalize_nfkc(F.col("title")).alias("normalized_name"), F.col("event_type").alias("current_stage"), "amount", F.col("published_at").alias("first_published_at"),
+        F.col("published_at").alias("latest_event_at"), F.col("source_url").alias("latest_source_url"), (~stage_done(F.col("event_type"))).alias("needs_recheck"), F.year("published_at").alias("year"), "first_seen_at", "updated_at",
+    )
+
+
+def financing_rows(reports: DataFrame, prefix: str = "gleaner:financing:") -> DataFrame:
+    """Financing rows of verified reports: amount in yuan, sorted sources, their dates and versions, fingerprint and id.
+
+    reports: organization, published_at, amount, amount_disclosed, investors, financing_round, financing_subtype,
+    source_url, content_hash, discovered_at, records (array of source_url, published_at, content_hash).
+    """
+    yuan = text.amount_cny(F.col("amount"))
+    mine = F.struct(F.col("source_url").alias("source_url"), F.col("published_at").alias("published_at"), F.lower("content_hash").alias("content_hash"))
+    all_ = F.concat(F.transform("records", lambda r: F.struct(r["source_url"].alias("source_url"), r["published_at"].alias("published_at"), F.lower(r["content_hash"]).alias("content_hash"))), F.array(mine))
+    out = reports.withColumn("amount_cny", yuan).withColumn("__all", all_).withColumn("source_urls", F.array_sort(F.array_distinct(F.transform("__all", lambda r: r["source_url"]))))
+    first = lambda url: F.element_at(F.filter("__all", lambda r: r["source_url"] == url), 1)
+    out = out.withColumn("source_published_at", F.map_from_entries(F.transform("source_urls", lambda u: F.struct(u.alias("k"), first(u)["published_at"].alias("v")))))
+    versions = F.array_sort(F.array_distinct(F.transform("__all", lambda r: ids.version_id(r["source_url"], r["content_hash"]))))
+    names = F.transform("investors", lambda i: text.normalize(i))
+    print_ = ids.financing_fingerprint(F.col("published_at"), ids.amount_text(F.col("amount_cny")), text.normalize_nfkc(F.col("organization")), names, text.normalize_nfkc(F.coalesce("financing_round", F.lit(""))), F.col("financing_subtype"))
+    out = out.withColumn("content_version_ids", versions).withColumn("fingerprint", print_).drop("__all")
+    disclosed = F.coalesce("amount_disclosed", F.col("amount_cny").isNotNull())
+    return out.withColumn("amount_disclosed", disclosed).withColumn("financing_id", ids.uuid5(F.concat(F.lit(prefix), "fingerprint"))).withColumn("first_seen_at", F.col("discovered_at")).withColumn("updated_at", F.col("discovered_at"))
+
+
+def latest_known(announced: Column, dates: Column) -> Column:
+    """The latest of a financing's announcement and its sources' dates (a map)."""
+    return F.greatest(announced, F.array_max(F.map_values(dates)))
