@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import clock, ids, text, urls
+from ..functions import clock, extract, ids, text, urls
 from ..functions import lexicon as lx
-from ..operators import report, resolve, select, state, verify
+from ..operators import claims, enrich, followup, report, resolve, select, state, verify
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -405,3 +405,165 @@ def report_sections(spark, sf):
     """Each line once, in the first section that has it."""
     lines = staged(spark, sf).select(F.when(F.col("stage") == "award", 0).when(F.col("stage") == "tender", 1).otherwise(2).alias("section"), F.col("event_id").alias("pos"), F.concat_ws(" ", "stage", F.col("user_id").cast("string")).alias("line"))
     return report.first_sections(lines, "section", "pos", "line")
+
+
+# --------------------------------------------------------------------- claims, extraction and follow-up
+_EV = "array<struct<field:string,quote:string,source_url:string>>"
+
+
+def _quotes(**quotes: Column) -> Column:
+    """Evidence with one quote for each field whose quote is not null."""
+    each = F.array(*[F.struct(F.lit(f).alias("field"), q.cast("string").alias("quote"), F.lit("u").alias("source_url")) for f, q in quotes.items()])
+    return F.filter(each, lambda e: e["quote"].isNotNull())
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 9 WHEN 1 THEN 'financing_missing_required_evidence' WHEN 2 THEN 'evidence_not_grounded' WHEN 3 THEN 'evidence_not_grounded' WHEN 4 THEN 'evidence_not_grounded' WHEN 6 THEN 'financing_missing_required_evidence' WHEN 7 THEN 'evidence_not_grounded' END AS failure,
+ CASE o_orderkey % 9 WHEN 1 THEN 'amount' WHEN 2 THEN 'published_at' WHEN 3 THEN 'financing_round' WHEN 4 THEN 'amount' WHEN 6 THEN 'amount' ELSE '' END AS gaps,
+ CASE o_orderkey % 9 WHEN 1 THEN 'financing_source_amount_evidence_invalid' WHEN 2 THEN 'financing_source_publication_date_evidence_invalid' WHEN 3 THEN 'financing_source_round_evidence_invalid' WHEN 4 THEN 'financing_source_amount_evidence_invalid' WHEN 7 THEN 'financing_source_action_evidence_invalid' END AS source_failure,
+ CASE WHEN o_orderkey % 9 IN (5, 6) THEN NULL ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) * 10000 AS VARCHAR) END AS amount_key FROM orders""")
+def financing_claims(spark, sf):
+    """Orders as financings of which seven in nine lack or distort one proof each."""
+    k, price = F.col("o_orderkey") % 9, F.floor("o_totalprice").cast("string")
+    company = F.concat(F.lit("客户 "), F.col("o_custkey").cast("string"))
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", F.lit("t").alias("title"), company.alias("organization"), F.col("o_orderdate").alias("published_at"), F.lit("B").alias("financing_round"), F.lit(None).cast("string").alias("financing_subtype"),
+        F.when(~k.isin(5, 6), F.concat(price, F.lit("万元"))).alias("amount"), F.when(k == 5, False).when(k != 6, True).alias("amount_disclosed"), F.array(F.lit("投资 甲")).alias("investors"), F.lit(None).cast("string").alias("business_area"),
+        _quotes(
+            organization=F.concat(company, F.lit("，宣布")), published_at=F.when(k == 2, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy年M月d日")),
+            amount=F.when(k == 4, F.lit("融资 3 元")).when(k == 5, F.lit("金额未披露")).when(k != 1, F.concat(F.lit("融资"), price, F.lit(".0 万元"))), financing_round=F.when(k == 3, F.lit("PreB轮")).otherwise(F.lit("完成 B 轮")), investors=F.lit("投资甲领投"),
+            event_type=F.when(k == 7, F.lit("发布产品")).otherwise(F.lit("完成融资")),
+        ).alias("evidence"),
+    )
+    return claims.prepared(rows).select("o_orderkey", claims.financing_failure().alias("failure"), F.array_join(claims.financing_gaps(), ",").alias("gaps"), claims.source_failure().alias("source_failure"), claims.amount_key(F.col("forms.amount")).alias("amount_key"))
+
+
+@query(f"""SELECT page_id, CASE WHEN host LIKE '%.example.org' OR host = 'example.org' THEN 'B' WHEN (host LIKE '%.example.com' OR host = 'example.com') AND page_id % 2 = 0 THEN 'A' WHEN (host LIKE '%.example.net' OR host = 'example.net') AND page_id % 3 = 0 THEN 'A' ELSE 'C' END AS grade FROM (SELECT page_id, {_HOST_SQL} AS host FROM pages)""")
+def financing_grades(spark, sf):
+    registry = spark.createDataFrame([("example.com", "company", ["acme"]), ("example.org", "media", []), ("example.net", "investor", ["fund"])], "domain string, kind string, aliases array<string>")
+    rows = table(spark, sf, "pages").select(
+        "page_id", urls.host(F.col("url")).alias("host"), F.when(F.col("page_id") % 2 == 0, "Acme").otherwise("Other").alias("organization"), F.array(F.lit("Fund")).alias("investors"), _quotes(investors=F.when(F.col("page_id") % 3 == 0, F.lit("led by FUND."))).alias("evidence"),
+        *[F.lit(None).cast("string").alias(c) for c in ("title", "financing_round", "amount", "business_area")],
+    )
+    return claims.grade_financing(claims.prepared(rows), registry).select("page_id", "grade")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 1 THEN 'deadline_evidence_missing' WHEN 2 THEN 'deadline_evidence_invalid' WHEN 3 THEN 'deadline_evidence_invalid' END AS failure FROM orders""")
+def deadline_claims(spark, sf):
+    """Bid deadlines at minute precision whose quote is right, absent, of another day, or without the time."""
+    k, at = F.col("o_orderkey") % 5, F.col("o_orderdate") + F.make_dt_interval(F.lit(30), (F.col("o_orderkey") % 24).cast("int"), F.lit(7))
+    quote = F.when(k == 2, F.lit("投标截止 1970-01-01 00:07")).when(k == 3, F.concat(F.lit("投标截止 "), F.date_format(at, "yyyy.MM.dd"))).when(k != 1, F.concat(F.lit("投标截止 "), F.date_format(at, "yyyy-MM-dd HH:mm")))
+    rows = table(spark, sf, "orders").select("o_orderkey", at.alias("at"), _quotes(bid_submission_deadline=quote).alias("evidence"), F.array().cast("array<string>").alias("investors"), *[F.lit(None).cast("string").alias(c) for c in claims.CLAIMS])
+    failure = claims.deadline_failure(F.create_map(F.lit("bid_submission"), F.col("at")), F.create_map(F.lit("bid_submission"), F.lit("minute")))
+    return claims.prepared(rows).select("o_orderkey", failure.alias("failure"))
+
+
+@query("""SELECT o_orderkey, '客户' || o_custkey AS organization, CASE WHEN o_orderkey % 3 <> 0 THEN '供应商' || o_orderkey END AS supplier, CAST(floor(o_totalprice) AS BIGINT) || '万元' AS amount, CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS published, 'award' AS event_type FROM orders""")
+def notice_fields(spark, sf):
+    """Fields of award notices; masked suppliers do not count."""
+    said = F.concat(F.lit("采购人："), F.concat(F.lit("客户"), F.col("o_custkey").cast("string")), F.lit("。\n中标供应商："), F.when(F.col("o_orderkey") % 3 == 0, "***").otherwise(F.concat(F.lit("供应商"), F.col("o_orderkey").cast("string"))), F.lit("；\n中标金额："), F.floor("o_totalprice").cast("string"), F.lit("万元\n发布于 "), F.date_format(F.add_months("o_orderdate", 240), "yyyy年M月d日"))
+    rows = table(spark, sf, "orders").select("o_orderkey", said.alias("t"))
+    return rows.select("o_orderkey", extract.organization(F.col("t"))["value"].alias("organization"), extract.supplier(F.col("t"))["value"].alias("supplier"), extract.award_amount(F.col("t"))["value"].alias("amount"), extract.date(F.col("t"))["value"].alias("published"), extract.event_type(F.col("t"), F.lit(None).cast("string")).alias("event_type"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 5 IN (0, 2, 4) THEN TRUE ELSE FALSE END AS domestic, CASE WHEN p_partkey % 5 = 0 THEN '北京零件' || p_partkey || '科技有限公司' END AS subject FROM part""")
+def domestic_subjects(spark, sf):
+    """Titles that name a domestic company, a foreign buyer, or nobody; then the lead or the source decides."""
+    k, n = F.col("p_partkey") % 5, F.col("p_partkey").cast("string")
+    title = F.when(k == 0, F.concat(F.lit("北京零件"), n, F.lit("科技有限公司采购公告"))).when(k == 1, F.concat(F.lit("美国采购零件"), n)).otherwise(F.concat(F.lit("零件"), n, F.lit("公告")))
+    lead = F.when(k == 2, F.lit("国内项目招标")).when(k == 3, F.lit("日本的项目")).otherwise(F.lit("说明"))
+    rows = table(spark, sf, "part").select("p_partkey", title.alias("t"), lead.alias("l"), (k == 4).alias("a"))
+    return rows.select("p_partkey", extract.domestic_subject(F.col("t"), F.col("l"), F.col("a")).alias("domestic"), extract.subject_quote(F.col("t")).alias("subject"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '客户' || o_custkey || '完成' || CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority ELSE '股权融资' END || '，披露金额' || CAST(floor(o_totalprice) AS BIGINT) || '元' ELSE '客户' || o_custkey || CASE o_orderstatus WHEN 'F' THEN '公布中标结果' WHEN 'O' THEN '启动招标采购' ELSE '发布采购信息' END || '，项目金额' || CAST(floor(o_totalprice) AS BIGINT) || '元' END AS summary FROM orders""")
+def composed_summaries(spark, sf):
+    n, none = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    financed = F.col("o_orderkey") % 2 == 0
+    sentence = extract.composed_summary(
+        F.when(financed, lx.FINANCING).otherwise("eo_turret"), F.lit("t"), F.concat(F.lit("客户"), F.col("o_custkey").cast("string")), F.when(F.col("o_orderstatus") == "F", "award").when(F.col("o_orderstatus") == "O", "tender").otherwise("other"),
+        F.concat(F.floor("o_totalprice").cast("string"), F.lit("元")), F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderpriority")), none, n, n, n,
+    )
+    return table(spark, sf, "orders").select("o_orderkey", sentence.alias("summary"))
+
+
+@query("""WITH m AS (SELECT o_orderkey AS k, o_orderstatus AS category, o_orderkey % 7 <> 0 AS in_scope, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS event_type, CASE WHEN o_orderkey % 3 = 0 THEN 'm' || o_custkey END AS organization FROM orders WHERE o_orderkey % 11 <> 0),
+ r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'Z' ELSE o_orderstatus END AS category, TRUE AS in_scope, o_orderpriority AS event_type, 'r' || o_custkey AS organization FROM orders)
+ SELECT r.k AS o_orderkey, CASE WHEN m.k IS NULL THEN r.category ELSE m.category END AS category, CASE WHEN m.k IS NULL OR (m.in_scope AND m.category = r.category) THEN coalesce(m.event_type, r.event_type) ELSE m.event_type END AS event_type,
+ CASE WHEN m.k IS NULL OR (m.in_scope AND m.category = r.category) THEN coalesce(m.organization, r.organization) ELSE m.organization END AS organization FROM r LEFT JOIN m ON m.k = r.k""")
+def enriched_analyses(spark, sf):
+    """A model's rows with gaps, completed from rule rows unless they are out of scope or contradict each other."""
+    k, none = F.col("o_orderkey"), F.lit(None)
+    base = [none.cast("timestamp").alias("published_at"), none.cast("string").alias("amount"), none.cast("boolean").alias("amount_disclosed"), F.array().cast(_EV).alias("evidence")]
+    orders = table(spark, sf, "orders")
+    model = orders.where(k % 11 != 0).select(k.alias("source_url"), F.lit(True).alias("in_china"), (k % 7 != 0).alias("in_scope"), F.col("o_orderstatus").alias("category"), F.when(k % 2 == 0, F.col("o_orderpriority")).alias("event_type"), F.when(k % 3 == 0, F.concat(F.lit("m"), F.col("o_custkey").cast("string"))).alias("organization"), *base)
+    rules = orders.select(k.alias("source_url"), F.lit(True).alias("in_china"), F.lit(True).alias("in_scope"), F.when(k % 5 == 0, "Z").otherwise(F.col("o_orderstatus")).alias("category"), F.col("o_orderpriority").alias("event_type"), F.concat(F.lit("r"), F.col("o_custkey").cast("string")).alias("organization"), *base)
+    return enrich.enriched(model, rules).select(F.col("source_url").alias("o_orderkey"), "category", "event_type", "organization")
+
+
+@query("""WITH q AS (SELECT c_custkey, unnest(CASE WHEN c_custkey % 2 = 0 THEN ['客户' || c_custkey || ' A轮 融资 投资方 领投 跟投 官网 投资机构 官方披露 site:c.cn', '客户' || c_custkey || ' A轮 融资 投资方 领投 跟投 领投方 投资方 site:n.cn', '客户' || c_custkey || ' A轮 融资 投资方 领投 跟投 领投方 投资方', '客户' || c_custkey || ' A轮 融资 投资方 领投 跟投 新闻 报道', '客户' || c_custkey || ' A轮 融资 投资方 领投 跟投 权威媒体 融资公告']
+ ELSE ['客户' || c_custkey || ' ' || c_mktsegment || ' 官方公告', '客户' || c_custkey || ' ' || c_mktsegment || ' 项目编号', '客户' || c_custkey || ' ' || c_mktsegment || ' 中标 变更 延期 终止'] END) AS text FROM customer) SELECT c_custkey, text || ' 最近90天 中国境内' AS query FROM q""")
+def followup_queries(spark, sf):
+    """Search texts for each customer: even ones are financings with an official site, odd ones procurements."""
+    even, none = F.col("c_custkey") % 2 == 0, F.array().cast("array<string>")
+    asked = followup.queries_for(F.when(even, lx.FINANCING).otherwise("eo_turret"), F.concat(F.lit("客户"), F.col("c_custkey").cast("string")), F.col("c_mktsegment"), F.lit("A轮"), none, F.array(F.lit("investors")), F.array(F.lit("c.cn")), F.array(F.lit("m.cn")), ["m.cn", "n.cn"])
+    return table(spark, sf, "customer").select("c_custkey", F.explode(asked).alias("query"))
+
+
+@query(f"""WITH v AS (SELECT page_id, {_NURL_SQL} AS u, sha256('{{"content_hash":"h' || page_id || '","source_url":"' || ({_NURL_SQL}) || '"}}') AS version, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(page_id AS INTEGER)) AS pub FROM pages),
+ f AS (SELECT page_id, version, sha256('{{"content_version_id":"' || version || '","event_type":"tender","published_at":"' || strftime(pub, '%Y-%m-%dT%H:%M:%S.%fZ') || '","source_url":"' || u || '","title":"page ' || page_id || '"}}') AS fingerprint FROM v), d AS (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('gleaner:event:' || fingerprint)) AS h FROM f)
+ SELECT page_id, version, fingerprint, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', 1 + (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS event_id FROM d""")
+def event_rows(spark, sf):
+    """Pages as formal events: version of URL and content, fingerprint and id."""
+    at = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_dt_interval(F.col("page_id").cast("int"))
+    rows = table(spark, sf, "pages").select("page_id", F.lit("tender").alias("event_type"), at.alias("published_at"), F.col("url").alias("source_url"), F.concat(F.lit("Page "), F.col("page_id").cast("string")).alias("title"), F.concat(F.lit("H"), F.col("page_id").cast("string")).alias("content_hash"), at.alias("discovered_at"))
+    return state.event_rows(rows).select("page_id", F.col("content_version_id").alias("version"), "fingerprint", "event_id")
+
+
+# --------------------------------------------------------------------- report rows
+_TYPE_OF = {"view": "procurement_intention", "click": "tender", "signup": "candidate", "purchase": "award", "error": "change"}
+
+
+@query(f"""WITH e AS (SELECT event_id, event_type, CASE WHEN event_id % 3 <> 0 THEN ts + INTERVAL 20 DAY END AS d, event_id % 2 = 0 AS by_date, event_id % 5 <> 0 AS evidenced FROM events)
+ SELECT event_id, CASE WHEN event_type IN ('view', 'signup', 'purchase') THEN 'results' WHEN d IS NOT NULL AND CASE WHEN by_date THEN CAST({NOW_SQL} AS DATE) > CAST(d AS DATE) ELSE {NOW_SQL} > d END THEN 'results' WHEN d IS NOT NULL AND evidenced THEN 'opportunities' ELSE 'confirmation' END AS grp FROM e""")
+def procurement_stage_groups(spark, sf):
+    """Open notices with evidenced deadlines ahead are opportunities, other open ones want confirmation, the rest are results."""
+    due = F.when(F.col("event_id") % 3 != 0, F.col("ts") + F.make_dt_interval(F.lit(20)))
+    grp = report.procurement_group(lx.mapped(F.col("event_type"), _TYPE_OF, F.lit("other")), F.lit(None).cast("string"), due, F.when(F.col("event_id") % 2 == 0, "date").otherwise("minute"), F.col("event_id") % 5 != 0, now())
+    return table(spark, sf, "events").select("event_id", grp.alias("grp"))
+
+
+@query(f"""SELECT user_id, '- ' || strftime(max(ts), '%Y-%m-%d') || '｜c｜u\\_' || user_id || '｜采购单位：x｜状态：open｜[查看原始公告](http://e/' || arg_max(event_id, struct_pack(a := ts, b := event_id)) || ')' AS line,
+ string_agg('[' || {_STAGE_SQL} || '](http://e/' || event_id || ')（' || strftime(ts, '%Y-%m-%d') || '）', ' → ' ORDER BY ts, event_id) AS chain FROM events GROUP BY user_id""")
+def project_lines(spark, sf):
+    e = staged(spark, sf).select(F.col("user_id").alias("project_id"), "event_id", F.col("stage").alias("event_type"), F.col("ts").alias("published_at"), F.concat(F.lit("http://e/"), F.col("event_id").cast("string")).alias("source_url"))
+    p = e.select("project_id").distinct().select("project_id", F.concat(F.lit("u_"), F.col("project_id").cast("string")).alias("name"), F.lit("x").alias("organization"), F.lit("c").alias("category"), F.lit("open").alias("status"))
+    return report.project_lines(p, e).withColumnRenamed("project_id", "user_id")
+
+
+@query(f"""WITH l AS (SELECT user_id, max(ts) AS latest_at, arg_max({_STAGE_SQL}, struct_pack(a := ts, b := event_id)) AS stage FROM events GROUP BY 1)
+ SELECT user_id, latest_at, stage IN ('award', 'failed') AS completed FROM l WHERE latest_at BETWEEN TIMESTAMP '2024-01-25 00:00:00' AND {NOW_SQL}""")
+def rolling_projects(spark, sf):
+    e = staged(spark, sf).select(F.col("user_id").alias("project_id"), "event_id", F.col("stage").alias("event_type"), F.col("ts").alias("published_at"))
+    p = e.select("project_id").distinct().select("project_id", F.lit("open").alias("status"), F.lit(None).cast("timestamp_ntz").alias("latest_event_at"), F.lit(None).cast("string").alias("current_stage"))
+    return report.rolling(p, e, F.expr("TIMESTAMP_NTZ '2024-01-25 00:00:00'"), now()).withColumnRenamed("project_id", "user_id")
+
+
+@query("SELECT '统计期内共有' || sum(n) || '条已核验事件：' || string_agg(event_type || ' ' || n || '条', '、' ORDER BY event_type) || '。' AS summary FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)")
+def trend_sentence(spark, sf):
+    return report.trend_sentence(table(spark, sf, "events").groupBy(F.col("event_type").alias("category")).agg(F.count("*").alias("n")))
+
+
+@query("""SELECT o_custkey, arg_max(o_orderpriority, struct_pack(t := CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END, p := o_orderdate, n := length(o_orderpriority), x := o_orderpriority)) AS title, max(o_orderdate) AS published_at, array_to_string(list_sort(list(DISTINCT 'http://' || o_orderstatus)), ',') AS sources,
+ CASE WHEN count(DISTINCT o_orderstatus) >= 2 OR bool_or(o_orderstatus = 'F') THEN 'high_confidence' ELSE 'candidate' END AS label FROM orders GROUP BY 1""")
+def merged_signals(spark, sf):
+    """Orders of a customer as leads of one financing, merged."""
+    rows = table(spark, sf, "orders").select(F.col("o_custkey").alias("leader"), F.col("o_orderpriority").alias("title"), F.lit("x").alias("organization"), F.col("o_orderdate").cast("timestamp").alias("published_at"), F.lit("").alias("amount"), F.lit("A").alias("round_name"), F.lit("").alias("summary"), F.when(F.col("o_orderstatus") == "F", "high_confidence").otherwise("candidate").alias("label"), F.array(F.concat(F.lit("http://"), F.col("o_orderstatus"))).alias("source_urls"))
+    return report.merged_signals(rows).select(F.col("leader").alias("o_custkey"), "title", F.col("published_at").cast("timestamp_ntz").alias("published_at"), F.array_join("source_urls", ",").alias("sources"), "label")
+
+
+@query()
+def lead_groups(spark, sf):
+    """Orders of a customer as leads of one event where round and dates fit, greedily, newest first; each group with its key."""
+    day = F.datediff("o_orderdate", F.lit("1970-01-01").cast("date")).cast("long")
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("pos"), F.lit(lx.FINANCING).alias("category"), F.lit("financing").alias("event_type"), F.array(F.col("o_custkey").cast("string")).alias("aliases"), day.alias("day"), F.array(F.col("o_orderstatus")).alias("rounds"), F.lit(None).cast("string").alias("amount"), F.array().cast("array<string>").alias("investors"), F.lit("").alias("title_key"), (-day).alias("newest"))
+    return followup.group_keys(rows, followup.group_targets(rows, "pos", ["newest"]), "pos")
