@@ -37,3 +37,13 @@ def floor_days_apart(left: Column, right: Column) -> Column:
 
 def expired(deadline: Column, precision: Column, now: Column) -> Column:
     return F.when(precision == "date", F.to_date(now) > F.to_date(deadline)).otherwise(now > deadline)
+
+
+def daily_window(now: Column) -> tuple[Column, Column]:
+    """(start, end) of the last twenty-four hours."""
+    return now - F.make_dt_interval(hours=F.lit(24)), now
+
+
+def rolling_start(now: Column, months: int = 3) -> Column:
+    """The same time of day some calendar months ago, the day cut to the month's length."""
+    return now - F.make_ym_interval(months=F.lit(months))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ipaddress
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Query keys that only track a visitor, besides those that start with utm_.
 TRACKING_KEYS = ("spm", "from", "source")
@@ -82,3 +85,29 @@ def usable_shape(title: Column, summary: Column, url: Column) -> Column:
     """Title and summary are not blank, and the URL is http(s) with a host."""
     filled = lambda c: F.coalesce(c, F.lit("")).rlike(r"(?U)\S")
     return filled(title) & filled(summary) & scheme(url).isin("http", "https") & (host(url) != "")
+
+
+def _global(address: str | None) -> bool:
+    try:
+        return address is not None and ipaddress.ip_address(address.strip("[]").split("%")[0]).is_global
+    except ValueError:
+        return False
+
+
+@F.pandas_udf(T.BooleanType())
+def all_global(addresses: pd.Series) -> pd.Series:
+    """Every address of the list is a global one; an empty list is not."""
+    return addresses.map(lambda xs: xs is not None and len(xs) > 0 and all(map(_global, xs)))
+
+
+def fetchable(url: Column, resolved: Column) -> Column:
+    """A page that may be fetched: http(s), a valid port, and a host all of whose resolved addresses are public.
+
+    resolved: the addresses that the host's name stood for when it was looked up; a literal address counts as its own.
+    """
+    name = host(url)
+    literal = name.rlike(r"^(?:\[[0-9a-f:.]+\]|[0-9]+(?:\.[0-9]+){3})$")
+    port = _group(authority(url), r":([^:\]]*)$")
+    fits = (port == "") | F.coalesce(port.try_cast("int").between(0, 65_535), F.lit(False))
+    every = F.when(literal, F.array_union(F.array(name), F.coalesce(resolved, F.array().cast("array<string>")))).otherwise(resolved)
+    return scheme(url).isin("http", "https") & (name != "") & fits & all_global(every)

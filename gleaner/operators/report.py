@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..functions import lexicon as lx
-from ..functions.text import escape_markdown, money
+from ..functions.text import escape_markdown, money, short_summary
 from .blocks import fold
 
 
@@ -211,3 +211,49 @@ def merged_signals(leads: DataFrame) -> DataFrame:
     )
     high = (F.size("source_urls") >= 2) | (F.col("__t") == 1)
     return out.withColumn("label", F.when(high, "high_confidence").otherwise("candidate")).drop("__t")
+
+
+# --------------------------------------------------------------------- size limits
+def shortest_attempt(lines: DataFrame, titles: Sequence[str], limit: int, attempts: Sequence[tuple[int, int]] = ((3, 80), (2, 60), (1, 40))) -> DataFrame:
+    """One row (markdown, items, chars): the report of the first attempt that fits the limit.
+
+    lines: section (from 0), pos, line, summary.  An attempt shows so many items a section with summaries of so many
+    characters.  Only the most items that any attempt shows leave their section.  Fails if no attempt fits.
+    """
+    most = max(n for n, _ in attempts)
+    ranked = lines.withColumn("__r", F.row_number().over(Window.partitionBy("section").orderBy("pos"))).where(F.col("__r") <= most)
+    shown = ranked.groupBy("section").agg(F.array_sort(F.collect_list(F.struct("__r", "line", "summary"))).alias("l"))
+    one = shown.agg(F.map_from_entries(F.collect_list(F.struct("section", "l"))).alias("s"))
+
+    def document(items: int, chars: int) -> Column:
+        def section(i: int) -> Column:
+            rows = F.slice(F.coalesce(F.col("s")[i], F.array().cast("array<struct<__r:int,line:string,summary:string>>")), 1, items)
+            body = F.transform(rows, lambda x: F.concat(F.lit("- "), escape_markdown(x["line"]), F.when(F.coalesce(x["summary"], F.lit("")) != "", F.concat(F.lit("\n  "), escape_markdown(short_summary(x["summary"], chars)))).otherwise("")))
+            return F.concat(F.lit(f"## {titles[i]}\n"), F.when(F.size(rows) == 0, F.lit("（无）")).otherwise(F.array_join(body, "\n")))
+
+        return F.concat_ws("\n\n", *[section(i) for i in range(len(titles))])
+
+    fitting = [F.when(F.char_length(d) <= limit, F.struct(d.alias("markdown"), F.lit(n).alias("items"), F.lit(c).alias("chars"))) for n, c in attempts for d in [document(n, c)]]
+    failed = F.raise_error(F.lit("the report does not fit its limit")).cast("struct<markdown:string,items:int,chars:int>")
+    return one.select(F.coalesce(*fitting, failed).alias("r")).select("r.*")
+
+
+def within_limit(entries: DataFrame, fixed: int, limit: int) -> DataFrame:
+    """Entries (project_id, latest_at, completed, size) without the oldest completed ones, as few as make the rest fit.
+
+    size is the length of an entry's text and fixed that of all other text.  Open projects always stay.
+    """
+    total = entries.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("__total"))
+    oldest = Window.partitionBy("completed").orderBy("latest_at", "project_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = entries.withColumn("__gone", F.sum("size").over(oldest) - F.col("size")).join(F.broadcast(total), how="cross")  # total is one row
+    needed = F.col("completed") & (F.lit(fixed) + F.col("__total") - F.col("__gone") > limit)
+    return ranked.where(~needed).drop("__gone", "__total")
+
+
+def coverage(search_degraded: Column, reasons: Column, failed_domains: Column, model_degraded: Column) -> Column:
+    """What a run could not reach, in words."""
+    domains = F.array_sort(F.array_distinct(failed_domains))
+    details = F.concat(F.array_distinct(reasons), F.when(F.size(domains) > 0, F.array(F.concat(F.lit("官方来源访问失败："), F.array_join(F.transform(domains, escape_markdown), "、")))).otherwise(F.array().cast("array<string>")))
+    search = F.when(search_degraded, F.when(F.size(details) > 0, F.concat(F.lit("搜索（"), F.array_join(details, "；"), F.lit("）"))).otherwise("搜索"))
+    parts = F.array_compact(F.array(search, F.when(model_degraded, F.lit("AI"))))
+    return F.when(F.size(parts) > 0, F.concat(F.lit("降级（"), F.array_join(parts, "、"), F.lit("）"))).otherwise("正常")

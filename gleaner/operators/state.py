@@ -149,3 +149,40 @@ def financing_rows(reports: DataFrame, prefix: str = "gleaner:financing:") -> Da
 def latest_known(announced: Column, dates: Column) -> Column:
     """The latest of a financing's announcement and its sources' dates (a map)."""
     return F.greatest(announced, F.array_max(F.map_values(dates)))
+
+
+# --------------------------------------------------------------------- pool and upgrade
+def pending_pool(pending: DataFrame, reasons, now: Column, days: int) -> DataFrame:
+    """Pending rows with an eligible reason and a date in the last `days` days, as candidates again."""
+    at = F.coalesce("source_published_at", "discovered_at")
+    rows = pending.where(F.col("reason").isin(*reasons) & at.between(now - F.make_dt_interval(F.lit(days)), now))
+    return rows.select("title", F.col("source_url").alias("url"), "summary", "discovered_at", F.lit("verification_pool").alias("discovery_source"), "category_hint", "source_published_at")
+
+
+def upgraded_events(events: DataFrame) -> DataFrame:
+    """Events of an older version with the hashes and times that they lack."""
+    legacy = ids.canonical_hash(event_type=F.col("event_type"), organization=F.col("organization"), published_at=ids.utc_text(F.col("published_at")), source_url=F.col("source_url"), title=F.col("title"))
+    filled = lambda c: F.nullif(F.col(c), F.lit(""))
+    out = events.withColumn("content_hash", F.coalesce(filled("content_hash"), legacy)).withColumn("discovered_at", F.coalesce("discovered_at", "published_at"))
+    out = out.withColumn("content_version_id", F.coalesce(filled("content_version_id"), ids.version_id(F.col("source_url"), F.col("content_hash"))))
+    out = out.withColumn("first_seen_at", F.coalesce("first_seen_at", "discovered_at"))
+    return out.withColumn("updated_at", F.coalesce("updated_at", "first_seen_at"))
+
+
+def upgraded_projects(projects: DataFrame) -> DataFrame:
+    out = projects.withColumn("first_seen_at", F.coalesce("first_seen_at", "first_published_at", "latest_event_at"))
+    return out.withColumn("updated_at", F.coalesce("updated_at", "latest_event_at", "first_seen_at"))
+
+
+def upgraded_financings(financings: DataFrame) -> DataFrame:
+    """The same for financings; the primary source's hash and version join those of the other sources."""
+    legacy = ids.canonical_hash(announced_at=ids.utc_text(F.col("announced_at")), company=F.col("company"), round_name=F.col("round_name"), source_url=F.col("source_url"))
+    filled = lambda c: F.nullif(F.col(c), F.lit(""))
+    out = financings.withColumn("content_hash", F.coalesce(filled("content_hash"), legacy)).withColumn("discovered_at", F.coalesce("discovered_at", "announced_at"))
+    out = out.withColumn("content_version_id", F.coalesce(filled("content_version_id"), ids.version_id(F.col("source_url"), F.col("content_hash"))))
+    held = F.coalesce("source_content_hashes", F.map_from_entries(F.array().cast("array<struct<k:string,v:string>>")))
+    out = out.withColumn("source_content_hashes", overlaid(F.create_map("source_url", "content_hash"), held))
+    versions = F.coalesce("source_content_version_ids", F.array().cast("array<string>"))
+    out = out.withColumn("source_content_version_ids", F.array_sort(F.array_union(versions, F.array("content_version_id"))))
+    out = out.withColumn("first_seen_at", F.coalesce("first_seen_at", "discovered_at"))
+    return out.withColumn("updated_at", F.coalesce("updated_at", "first_seen_at"))
