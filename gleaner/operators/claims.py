@@ -226,6 +226,49 @@ def payload_valid() -> Column:
     return F.coalesce(F.col("in_china") & F.col("in_scope"), F.lit(False)) & F.col("category").isNotNull() & F.col("event_type").isNotNull() & filled("title") & filled("organization") & F.col("published_at").isNotNull()
 
 
+# --------------------------------------------------------------------- classification
+def evidence_event_type(said: Column, category: Column) -> Column:
+    """The event type that quotes name; a financing needs one of its own terms."""
+    financing = F.coalesce(category == lx.FINANCING, F.lit(False))
+    return F.when(~financing | lx.any_of(F.lower(said), extract.FINANCING_TERMS), extract.event_type(said, category))
+
+
+def classification_failure(rules: Column, grade: Column, url: Column) -> Column:
+    """Why a notice's classification fails: the rules disagree, or its quotes do not show country, category, event or scope.
+
+    rules: what the rules make of the page, a struct of in_china, in_scope, category and event_type.
+    """
+    fields = ("in_china", "in_scope", "category", "event_type")
+    differs = F.lit(False)
+    for c in fields:
+        differs |= ~F.col(c).eqNullSafe(rules[c])
+    quotes = lambda *names: F.array_join(F.flatten(F.array(*[F.transform(F.filter("forms.ev", lambda e: e["field"] == n), lambda e: e["quote"]) for n in names])), "\n")  # noqa: E731, B023
+    country = some(lambda e: ((e["quote"] == url) & (grade == "A")) | (extract.domestic_signal(e["quote"]) & ~extract.foreign_signal(e["quote"])), "in_china")
+    said, scope = quotes("in_scope", "category", "event_type"), quotes("in_scope")
+    terms = F.lit(False)
+    for name, words in (*extract.CATEGORIES, (lx.FINANCING, extract.FINANCING_SUBJECTS)):
+        terms |= F.coalesce(F.col("category") == name, F.lit(False)) & lx.any_of(F.lower(scope), words)
+    is_event = lambda text_: evidence_event_type(text_, F.col("category")).eqNullSafe(F.col("event_type"))
+    rules_ = [
+        (differs, "classification_rule_disagreement"),
+        (~named(*fields), "classification_evidence_missing"),
+        (~F.coalesce(country, F.lit(False)), "classification_country_evidence_invalid"),
+        (~extract.category(said).eqNullSafe(F.col("category")), "classification_category_evidence_invalid"),
+        (~is_event(said), "classification_event_evidence_invalid"),
+        (~(terms | is_event(scope)), "classification_scope_evidence_invalid"),
+    ]
+    return cascade([(c, "", r) for c, r in rules_], "", None)[1]
+
+
+def page_failure(rules: Column, grade: Column, url: Column, page_title: Column, page_text: Column) -> Column:
+    """Why a media page cannot corroborate a financing: scope, quotes that are not on the page, classification, or its facts."""
+    scoped = payload_valid() & F.coalesce((F.col("category") == lx.FINANCING) & (F.col("event_type") == "financing"), F.lit(False))
+    on_page = lambda e: page_text.contains(e["quote"]) | page_title.contains(e["quote"]) | ((e["field"] == "in_china") & (e["quote"] == url) & (grade == "A"))
+    grounded = F.forall("forms.ev", lambda e: (e["source_url"] == url) & e["quote"].rlike(r"(?U)\S") & on_page(e))
+    failed = F.coalesce(classification_failure(rules, grade, url), source_failure())
+    return F.when(~scoped, "missing_or_out_of_scope").when(~F.coalesce(grounded, F.lit(False)), "evidence_not_grounded").otherwise(failed)
+
+
 # --------------------------------------------------------------------- deadlines
 def quote_supports(loose: Column, value: Column, precision: Column) -> Column:
     """A quote names the date and, as far as the precision goes, the minute and the second."""

@@ -80,3 +80,20 @@ def test_graded_sources(spark):
     df = claims.prepared(spark.createDataFrame([row(i) for i in range(6)], SCHEMA)).withColumn("host", F.element_at(F.array(*map(F.lit, ["www.tq.cn", "hs.cn", "news.cn", "x.hs.cn", "other.cn", "nothq.cn"])), F.col("pos") + 1))
     assert [r.grade for r in claims.grade_financing(df, registry).orderBy("pos").collect()] == ["A", "A", "B", "B", "C", "C"]
     assert claims.registries_overlap(registry.unionAll(registry.limit(1).withColumn("kind", F.lit("media")))).first().domain == "tq.cn"
+
+
+def test_classification_and_page(spark):
+    quotes = {"in_china": "中国商业航天企业", "in_scope": "商业航天融资", "category": "商业航天", "event_type": "完成融资"}
+    own = [F.lit(True).alias("in_china"), F.lit(True).alias("in_scope"), F.lit("commercial_space_financing").alias("category"), F.lit("financing").alias("event_type")]
+    rules = F.struct(*own)
+    why = lambda q, drop=(), r=rules: claims.prepared(spark.createDataFrame([row(0, drop=drop, quotes=quotes | q)], SCHEMA).select("*", *own)).select(claims.classification_failure(r, F.lit("B"), F.lit("u")).alias("w")).first().w
+    assert why({}) is None
+    assert why({}, r=F.struct(F.lit(False).alias("in_china"), *own[1:])) == "classification_rule_disagreement"
+    assert why({}, drop=["category"]) == "classification_evidence_missing"
+    assert why({"in_china": "美国企业"}) == "classification_country_evidence_invalid"
+    assert why({"in_scope": "x", "category": "光电吊舱", "event_type": "完成融资"}) == "classification_category_evidence_invalid"
+    assert why({"in_scope": "商业航天", "event_type": "发布"}) == "classification_event_evidence_invalid"
+    df = claims.prepared(spark.createDataFrame([row(0, quotes=quotes)], SCHEMA).select("*", *own))
+    body = "\n".join({**GOOD, **quotes}.values())
+    page = lambda text_, url="u": df.select(claims.page_failure(rules, F.lit("B"), F.lit(url), F.lit(""), F.lit(text_)).alias("w")).first().w
+    assert page(body) is None and page("other") == "evidence_not_grounded" and page(body, "v") == "evidence_not_grounded"
