@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -93,6 +95,25 @@ def owners(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
+def groups(texts: list[str], chars: int = 1 << 18) -> Iterator[list[int]]:
+    """Places of the texts in order, about `chars` characters of them at a time."""
+    held, size = [], 0
+    for i, t in enumerate(texts):
+        held.append(i)
+        size += len(t)
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def give_back() -> None:
+    """Return what a fit has freed to the system, where the C library can."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 # --------------------------------------------------------------------- vector hashes
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import code_points, mix, small_batches, steps, strings, with_text
+from ._common import code_points, give_back, groups, mix, small_batches, steps, strings, with_text
 
 ORDER = 4
 UNKNOWN = "und"
@@ -112,18 +112,29 @@ def locate(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == keys
 
 
+def counted(texts: list[str], order: int) -> list[dict]:
+    """For k = 1..order the distinct k-grams of texts: keys, counts n, hash of the context, key of the shorter gram."""
+    per: list[dict] = []
+    for group in groups(texts):
+        points, offsets, _ = reduced([texts[i] for i in group])
+        g, c = hashes(points, offsets, order), contexts(points, offsets, order)
+        for k in range(order):
+            part = {"keys": g[k], "n": np.ones(len(points)), "head": c[k], "lower": g[k - 1] if k else g[k]}
+            if k < len(per):
+                part = {f: np.concatenate([per[k][f], part[f]]) for f in part}
+            keys, first, where = np.unique(part["keys"], return_index=True, return_inverse=True)
+            merged = {"keys": keys, "n": np.bincount(where, part["n"], len(keys)), "head": part["head"][first], "lower": part["lower"][first]}
+            per[k : k + 1] = [merged]
+    return per or [{f: np.zeros(0, float if f == "n" else np.uint64) for f in ("keys", "n", "head", "lower")} for _ in range(order)]
+
+
 def estimate(texts: dict[str, list[str]], order: int = ORDER) -> Model:
     """Kneser-Ney tables of all languages from texts in memory."""
     languages = sorted(texts)
     model = Model(languages)
-    seen: list[dict] = []  # by language: arrays by order
+    seen: list[list[dict]] = []  # by language, by order
     for lang in languages:
-        points, offsets, _ = reduced(texts[lang])
-        g, c = hashes(points, offsets, order), contexts(points, offsets, order)
-        per = []
-        for k in range(order):
-            keys, first, n = np.unique(g[k], return_index=True, return_counts=True)
-            per.append({"keys": keys, "first": first, "n": n.astype(float), "head": c[k][first], "lower": g[k - 1][first] if k else None})
+        per = counted(texts[lang], order)
         for k in range(order - 1):  # continuation counts: distinct characters to the left
             lower, n = np.unique(per[k + 1]["lower"], return_counts=True)
             at, ok = locate(lower, per[k]["keys"]) if len(lower) else (None, np.zeros(len(per[k]["keys"]), bool))
@@ -192,7 +203,8 @@ def calibrate(model: Model, texts: dict[str, list[str]]) -> None:
     model.spread = np.ones(len(model.languages))
     model.cap = np.full(len(model.languages), -model.floor)
     for j, lang in enumerate(model.languages):
-        h, n = entropies(model, texts[lang] or [""])
+        found = [entropies(model, [texts[lang][i] for i in group]) for group in groups(texts[lang])] or [entropies(model, [""])]
+        h, n = (np.concatenate(x) for x in zip(*found, strict=True))
         h, n = h[n > 0], n[n > 0]
         seen.append(h)
         if not len(n):
@@ -254,6 +266,8 @@ def fit(labelled: DataFrame, max_docs: int = MAX_DOCS_PER_LANGUAGE, order: int =
         return Model([])
     model = estimate({k: v[::2] for k, v in texts.items()}, order)
     calibrate(model, {k: v[1::2] or v for k, v in texts.items()})
+    del rows, texts
+    give_back()
     return model
 
 

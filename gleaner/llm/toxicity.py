@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import code_points, owners, small_batches, steps, strings, with_text
+from ._common import code_points, give_back, groups, small_batches, steps, strings, with_text
 
 ORDERS = (3, 4, 5)
 BUCKET_BITS = 20
@@ -73,16 +73,10 @@ def fit_arrays(texts: list[str], toxic: np.ndarray, weight: np.ndarray, min_z: f
     if len(texts) == 0 or toxic.min() == toxic.max():
         p = min(max(prior, 1e-9), 1 - 1e-9)
         return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), float(np.log(p / (1 - p))))
-    groups, size = [], 0
-    for i, t in enumerate(texts):
-        if not groups or size > 1 << 20:
-            groups.append([])
-            size = 0
-        groups[-1].append(i)
-        size += len(t)
+    batches = [np.array(g) for g in groups(texts)]
     every, seen = np.ones(1 << BUCKET_BITS, bool), np.zeros((2, 1 << BUCKET_BITS))
     every[0] = False
-    for g in groups:
+    for g in batches:
         doc, bucket = present([texts[i] for i in g], every)
         label = toxic[g][doc]
         for c in (0, 1):
@@ -95,23 +89,26 @@ def fit_arrays(texts: list[str], toxic: np.ndarray, weight: np.ndarray, min_z: f
     ratio = np.log(p[1, kept] / p[0, kept])
     wanted, place = np.zeros(1 << BUCKET_BITS, bool), np.zeros(1 << BUCKET_BITS, np.int32)
     wanted[kept], place[kept] = True, np.arange(len(kept))
-    rows, cols = [], []
-    for g in groups:
+    # The features of a batch of documents at a time: (documents, place of the document in the batch, feature).
+    held, square = [], np.zeros(len(texts))
+    for g in batches:
         doc, bucket = present([texts[i] for i in g], wanted)
-        rows.append(np.asarray(g)[doc])
-        cols.append(place[bucket])
-    row, col = np.concatenate(rows), np.concatenate(cols)
-    value, share = ratio[col], weight / weight.sum()
+        held.append((g, doc.astype(np.int32), place[bucket]))
+        square[g] = np.bincount(doc, ratio[place[bucket]] ** 2, len(g))
+    share = weight / weight.sum()
     # Accelerated gradient steps on the weighted logistic loss with a ridge term.
-    square = np.bincount(row, value**2, len(texts))
     rate = 1 / (0.25 * ((share * square).sum() * 4 + 1) + ridge)
     w, b = np.zeros(len(kept)), float(np.log(prior / (1 - prior)))
     ahead, ahead_b = w.copy(), b
     for k in range(rounds):
-        score = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * ahead[col], len(texts)) + ahead_b, -30, 30)))
-        miss = share * (score - toxic)
-        nw = ahead - rate * (np.bincount(col, value * miss[row], len(kept)) + ridge * ahead)
-        nb = ahead_b - rate * miss.sum()
+        value, slope, slope_b = ratio * ahead, np.zeros(len(kept)), 0.0
+        for g, doc, col in held:
+            score = 1 / (1 + np.exp(-np.clip(np.bincount(doc, value[col], len(g)) + ahead_b, -30, 30)))
+            miss = share[g] * (score - toxic[g])
+            slope += np.bincount(col, miss[doc], len(kept))
+            slope_b += miss.sum()
+        nw = ahead - rate * (ratio * slope + ridge * ahead)
+        nb = ahead_b - rate * slope_b
         push = k / (k + 3)
         ahead, ahead_b = nw + push * (nw - w), nb + push * (nb - b)
         w, b = nw, nb
@@ -137,7 +134,10 @@ def fit(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max
     rows = by_class[0] + by_class[1]
     toxic = np.array([r["toxic"] for r in rows], int)
     weight = np.array([count[c] / len(by_class[c]) for c in toxic], float)
-    return fit_arrays([r["text"] or "" for r in rows], toxic, weight, **options)
+    model = fit_arrays([r["text"] or "" for r in rows], toxic, weight, **options)
+    del rows, by_class
+    give_back()
+    return model
 
 
 def score_texts(model: Model, table: np.ndarray, wanted: np.ndarray, texts: list[str]) -> np.ndarray:
