@@ -121,6 +121,16 @@ def cut_at_spaces(data: np.ndarray, begins: np.ndarray):
     return np.where(capital & ~slow, data + 32, data).astype(np.uint8), edge, slow, (kind == WHITE) & ~slow
 
 
+def next_cut(data: np.ndarray, start: int, window: int = 1 << 16) -> int:
+    """The first place from start on with a space or line end behind an ASCII letter or digit; else the end."""
+    for at in range(max(start, 1), len(data), window):
+        here, last = data[at : at + window], _CLASS[data[at - 1 : at - 1 + window]][: len(data) - at]
+        hit = np.flatnonzero(((here == 32) | (here == 10)) & ((last == DIGIT) | ((last == LETTER) & (data[at - 1 : at - 1 + window][: len(here)] < 0x80))))
+        if len(hit):
+            return at + int(hit[0])
+    return len(data)
+
+
 # --------------------------------------------------------------------- merges
 class Merges:
     """Encodes many short pre-tokens at once by the ranks of a vocabulary file."""
@@ -261,8 +271,26 @@ class PieceEncoder:
                 self.ids = total
                 self.table.add(keys[own])
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets of the texts) of UTF-8 texts that stand one after another."""
+    def encode(self, data: np.ndarray, offsets: np.ndarray, most: int = 2 * ENCODE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of the texts) of UTF-8 texts that stand one after another.
+
+        Of longer data than `most` bytes a slice at a time is encoded, cut before a space behind a letter or digit.
+        """
+        cuts = [0]
+        while len(data) - cuts[-1] > most:
+            cuts.append(next_cut(data, cuts[-1] + most // 2))
+        found, places, counts, total = [], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 0
+        for a, b in zip(cuts, [*cuts[1:], len(data)], strict=True):
+            inner = offsets[(offsets > a) & (offsets < b)] - a
+            ids, per = self.encode_slice(data[a:b], np.concatenate([[0], inner, [b - a]]))
+            found.append(ids)
+            places.append(a + np.concatenate([inner, [b - a]]))
+            counts.append(total + per[1:])
+            total += len(ids)
+        ids = found[0] if len(found) == 1 else np.concatenate(found)
+        return ids, np.concatenate(counts)[np.searchsorted(np.concatenate(places), offsets)]
+
+    def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         if self.table.used > self.keep:

@@ -20,8 +20,10 @@ def block_ids(df: DataFrame, pos: str, keys: Column, max_rounds: int = 60) -> Da
     labels = pairs.groupBy("pos").agg(F.first("pos").alias("block"))
     before = None
     for _ in range(max_rounds):
-        low = pairs.join(labels, "pos").groupBy("key").agg(F.min("block").alias("low"))
-        labels = stored(pairs.join(low, "key").groupBy("pos").agg(F.min("low").alias("block")), "block-labels")
+        for _ in range(2):  # two hops between writes
+            low = pairs.join(labels, "pos").groupBy("key").agg(F.min("block").alias("low"))
+            labels = pairs.join(low, "key").groupBy("pos").agg(F.min("low").alias("block"))
+        labels = stored(labels, "block-labels")
         now = labels.agg(F.sum("block"), F.count("*")).first()
         if now == before:
             break

@@ -244,10 +244,14 @@ def within_limit(entries: DataFrame, fixed: int, limit: int) -> DataFrame:
     size is the length of an entry's text and fixed that of all other text.  Open projects always stay.
     """
     total = entries.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("__total"))
-    oldest = Window.partitionBy("completed").orderBy("latest_at", "project_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = entries.withColumn("__gone", F.sum("size").over(oldest) - F.col("size")).join(F.broadcast(total), how="cross")  # total is one row
-    needed = F.col("completed") & (F.lit(fixed) + F.col("__total") - F.col("__gone") > limit)
-    return ranked.where(~needed).drop("__gone", "__total")
+    # One row per day of completed entries, then the order inside a day: no task holds all entries.
+    day = F.to_date("latest_at")
+    days = entries.where("completed").groupBy(day.alias("__day")).agg(F.sum("size").alias("__of_day"))
+    days = days.select("__day", (F.sum("__of_day").over(Window.orderBy("__day")) - F.col("__of_day")).alias("__before"))
+    inside = Window.partitionBy("completed", day).orderBy("latest_at", "project_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = entries.withColumn("__gone", F.sum("size").over(inside) - F.col("size")).join(days, day == F.col("__day"), "left").join(F.broadcast(total), how="cross")  # total is one row
+    needed = F.col("completed") & (F.lit(fixed) + F.col("__total") - F.col("__before") - F.col("__gone") > limit)
+    return ranked.where(~F.coalesce(needed, F.lit(False))).select(*entries.columns)
 
 
 def coverage(search_degraded: Column, reasons: Column, failed_domains: Column, model_degraded: Column) -> Column:

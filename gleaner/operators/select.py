@@ -179,11 +179,12 @@ def select_candidates(rows: DataFrame, now: Column, minimum: int = 5, maximum: i
     unique = first_by(passed, F.col("url"), "input_pos")
     dated = unique.where(clock.within(F.col("published_at"), now, fallback_days)).withColumn("bucket", clock.bucket(F.col("published_at"), now, 7, fallback_days))
     said, dated = F.col("__said"), dated.withColumn("__said", text.squeezed(F.col("title"), F.col("summary")))
-    keyed = dated.select(
+    # A sort over ranges, not one window over all rows, ranks the candidates; storing them fixes their places.
+    keyed = dated.orderBy(*rank_order(preferred)).select(
         "*", company(F.col("title"), F.col("summary")).alias("company"), named_rounds(F.col("title"), F.col("summary")).alias("rounds"),
         F.lower(_first_group(F.concat_ws(" ", "title", "summary"), _NOTICE_CODE)).alias("code"), lx.first_label(said, lexicon.stages, "unknown").alias("stage"),
         canonical_title(F.col("title")).alias("title_key"), F.unix_micros(F.col("published_at").cast("timestamp")).alias("published_us"),
-        F.row_number().over(Window.orderBy(*rank_order(preferred))).cast("long").alias("rank_pos"),
+        F.monotonically_increasing_id().alias("rank_pos"),  # ascends along the sort; only the order matters
     )
     keyed = stored(keyed, "ranked-candidates")
     groups = group_events(keyed, "rank_pos", ["rank_pos"])

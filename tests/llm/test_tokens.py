@@ -65,6 +65,9 @@ def test_piece_encoder_equals_library():
         for _ in range(3):
             ids, at = e.encode(*utf8(pa.array(texts)))
             assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == want
+        for most in (64, 1000):  # long data in slices, cut inside texts too
+            ids, at = e.encode(*utf8(pa.array(texts)), most=most)
+            assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == want
 
 
 def test_packing_law(spark):
