@@ -22,9 +22,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ._common import mix, parts, steps, stored, unit, utf8, with_text
 from .graph import components
@@ -151,8 +150,13 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return mix((bits * times).sum(2, dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * U(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
 
+def digest(text: Column) -> Column:
+    """A native name of a text's very characters: rows meet again by it without another pass over the shingles."""
+    return F.md5(text.cast("string"))
+
+
 def signed(df: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, bands) of each row; node and bands are null without words."""
+    """(doc_id, digest, node, bands) of each row; node and bands are null without words."""
 
     def run(batches):
         for step in steps(batches):
@@ -162,21 +166,10 @@ def signed(df: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHIN
             keys = band_keys(signatures(text, h, w, n, bands * rows), bands, rows)
             names = nodes(text, h, w, n)
             lists = pa.array([k if x is not None else None for k, x in zip(keys.tolist(), names, strict=True)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([step.column("doc_id"), pa.array(names, pa.binary()), lists], ["doc_id", "node", "bands"])
-
-    return df.mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, node binary, bands array<long>")
-
-
-def named(df: DataFrame, text_col: str, node_col: str, size: int = SHINGLE) -> DataFrame:
-    """df with one more column, the node of each text."""
-    names = [*df.columns, node_col]
-
-    def run(batches):
-        for step in steps(batches, text_col):
-            data, offsets = utf8(step.column(text_col))
-            yield pa.RecordBatch.from_arrays([*step.columns, pa.array(nodes(*bags(data, offsets, size), step.num_rows), pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([step.column("doc_id"), step.column("digest"), pa.array(names, pa.binary()), lists], ["doc_id", "digest", "node", "bands"])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(node_col, T.BinaryType())]))
+    named = df.select("doc_id", "text", digest(F.col("text")).alias("digest"))
+    return named.mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, digest string, node binary, bands array<long>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -261,15 +254,17 @@ def prefix_pairs(placed: DataFrame, texts: DataFrame, threshold: float = THRESHO
 
 
 def links(df: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, node) of every row, (node, root) of every node that has a near duplicate)."""
+    """((doc_id, digest, node) of every row, (node, root) of every node that has a near duplicate)."""
     own = stored(signed(df, bands, rows, size), "signed")
     buckets = own.where("node is not null").select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("key"))
     several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(buckets.join(several, "key").select("node", "key", "n"), "buckets")
     wanted = stored(members.groupBy("node").agg(F.sum("n").alias("weight")), "candidates")
     members = members.join(wanted, "node").select("node", "key", "weight")
-    small = wanted.count() <= BROADCAST_NODES
-    texts = named(df.select("text"), "text", "node", size).join(F.broadcast(wanted.select("node")) if small else wanted, "node", "left_semi")
+    # One text stands for each node; its digest finds it among all texts.
+    chosen = own.select("node", "digest").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("digest").alias("digest"))
+    chosen = F.broadcast(chosen) if wanted.count() <= BROADCAST_NODES else chosen
+    texts = df.select("text", digest(F.col("text")).alias("digest")).join(chosen, "digest").select("node", "text")
     texts = stored(texts.dropDuplicates(["node"]).repartition(parts(df.sparkSession), "node"), "candidate-texts")
     schema = "a binary, b binary"
     tested = edges = df.sparkSession.createDataFrame([], schema)
@@ -288,7 +283,7 @@ def links(df: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows:
             continue
         edges = edges.unionByName(found)
         roots = components(edges)
-    return own.select("doc_id", "node"), roots
+    return own.select("doc_id", "digest", "node"), roots
 
 
 def classes(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -303,13 +298,14 @@ def classes(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
 def keep_one(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The row of the smallest id of each class, with all its columns; rows without words all stay."""
     own, roots = links(with_text(df, id_col, text_col), threshold, **options)
-    placed = own.where("node is not null").join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
-    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("low"))
-    node, keep_id = "__node", "__keep_id"
-    keepers = first.select(F.col("low.node").alias(node), F.col("low.doc_id").alias(keep_id))
+    placed = own.where("node is not null").join(roots, "node", "left").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("low"))
+    keep_digest, keep_id = "__digest", "__keep_id"
+    keepers = first.select(F.col("low.digest").alias(keep_digest), F.col("low.doc_id").alias(keep_id))
+    # Rows meet their keeper by id and text, so the copies of one text do not gather in one task.
     wordless = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
-    with_node = named(df.where(~wordless), text_col, node, options.get("size", SHINGLE))
-    kept = with_node.join(keepers, node).where(F.col(id_col).eqNullSafe(F.col(keep_id))).dropDuplicates([node]).select(*df.columns)
+    named = df.where(~wordless).withColumn("__own", digest(F.col(text_col)))
+    kept = named.join(keepers, F.col(id_col).eqNullSafe(F.col(keep_id)) & (F.col("__own") == F.col(keep_digest))).dropDuplicates([id_col, "__own"]).select(*df.columns)
     return kept.unionByName(df.where(wordless))
 
 
