@@ -9,7 +9,8 @@ are tight where impacts change and blocks are long where they do not.
 Search is exact.  The bounds of the blocks over a document add up to its upper bound.  Documents are visited by falling
 bound, in growing rounds; a round ends with a higher entry score, and the search ends when no bound reaches it.  Terms
 whose bounds together stay under the entry score cannot bring a document in alone (the pivot rule): only postings of the
-others name candidates, and blocks without live documents are never opened.  A task keeps its entry scores from shard to
+others name candidates, and blocks without live documents are never opened.  The entry score begins at the k-th best
+contribution of a single term, which k documents reach by that term alone.  A task keeps its entry scores from shard to
 shard and returns its best rows once; the best of all tasks are the result.
 
 Queries are taken in blocks of bounded size; for each block the two passes run over all documents.
@@ -188,8 +189,16 @@ class Shard:
         self.end = np.append(self.begin[1:], len(self.doc))
         self.high = np.maximum.reduceat(self.impact, self.begin) if len(self.begin) else np.zeros(0, np.int64)
         self.blocks = np.searchsorted(self.begin, self.lists)
+        self.kth: dict[tuple[int, int], int] = {}
         self.opened = 0  # postings read so far
 
+    def reached(self, term: int, k: int) -> int:
+        """The k-th highest impact of a list, 0 if it has fewer postings."""
+        if (term, k) not in self.kth:
+            own = self.impact[self.lists[term] : self.lists[term + 1]]
+            self.kth[term, k] = int(np.partition(own, len(own) - k)[len(own) - k]) if len(own) >= k else 0
+        return self.kth[term, k]
+
     def search(self, term: np.ndarray, weight: np.ndarray, k: int, best: tuple) -> tuple:
         """best: (scores, nulls, ids), the best so far, merged with this shard's; weight: of each term, times included."""
         counts = np.diff(self.blocks)[term]
@@ -211,8 +220,9 @@ class Shard:
         reach = np.empty(len(lists), np.int64)
         reach[rising] = np.cumsum(lists[rising])
         visited, target = np.zeros(self.size, bool), FIRST_ROUND
+        least = max(1, *(self.reached(t, k) * w for t, w in zip(term.tolist(), weight.tolist(), strict=True)))
         while True:
-            entry = best[0][-1] if len(best[0]) >= k else 1
+            entry = max(least, best[0][-1] if len(best[0]) >= k else 1)
             live = (upper >= entry) & ~visited
             left = int(live.sum())
             if not left:
@@ -220,11 +230,14 @@ class Shard:
             if left > target:
                 live &= upper >= np.partition(upper[live], left - target)[left - target]
             visited |= live
-            best = self._round(live, reach >= entry, place, begin, end, low, last, weight, k, entry, best)
+            essential = reach >= entry
+            rest = lists[~essential].sum()
+            best = self._round(live, essential, rest, place, begin, end, low, last, weight, k, entry, best)
             target *= GROWTH
 
-    def _round(self, live, essential, place, begin, end, low, last, weight, k, entry, best) -> tuple:
-        candidate = np.zeros(self.size, bool)
+    def _round(self, live, essential, rest, place, begin, end, low, last, weight, k, entry, best) -> tuple:
+        """Scores the live documents that can reach the entry score; rest: what the other terms add at most."""
+        candidate, score = np.zeros(self.size, bool), np.zeros(self.size)
         for lead in (True, False):
             before = np.concatenate([[0], np.cumsum(live if lead else candidate)])
             use = (essential[place] == lead) & (before[last + 1] > before[low])
@@ -239,9 +252,10 @@ class Shard:
             if lead:
                 candidate[doc] = True
                 candidate &= live
-                score = np.zeros(self.size)
             keep = candidate[doc]
             score += np.bincount(doc[keep], (self.impact[at] * np.repeat(weight[place[use]], sizes))[keep], self.size)
+            if lead:
+                candidate &= score + rest >= entry
         found = np.flatnonzero(score >= entry)
         return merged(best, (score[found].astype(np.int64), self.nulls[found], self.ids[found]), k)
 
