@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import clock, text, urls
@@ -175,7 +175,13 @@ def select_candidates(rows: DataFrame, now: Column, minimum: int = 5, maximum: i
     rows: input_pos, title, url, summary, category_hint, discovery_source, published_at.
     """
     shaped = relevance(rows.withColumn("__valid", urls.usable_shape(F.col("title"), F.col("summary"), F.col("url"))), lexicon)
-    passed = shaped.where("__valid and score is not null").withColumn("url", urls.normalize_url(F.col("url")))
+    # The funnel is counted in the pass that writes the rows behind the gate; no second pass, and no sort repeats the gate.
+    funnel = Observation()
+    counted = shaped.observe(
+        funnel, F.count(F.lit(1)).alias("raw"), F.count_if("__valid").alias("valid"), F.count_if(F.expr("__valid and score is not null")).alias("relevant"),
+        F.count_if(F.expr("__valid and score is null")).alias("rejected"),
+    )
+    passed = stored(counted.where("__valid and score is not null").withColumn("url", urls.normalize_url(F.col("url"))), "relevant-candidates")
     unique = first_by(passed, F.col("url"), "input_pos")
     dated = unique.where(clock.within(F.col("published_at"), now, fallback_days)).withColumn("bucket", clock.bucket(F.col("published_at"), now, 7, fallback_days))
     said, dated = F.col("__said"), dated.withColumn("__said", text.squeezed(F.col("title"), F.col("summary")))
@@ -187,7 +193,7 @@ def select_candidates(rows: DataFrame, now: Column, minimum: int = 5, maximum: i
         F.monotonically_increasing_id().alias("rank_pos"),  # ascends along the sort; only the order matters
     )
     keyed = stored(keyed, "ranked-candidates")
-    groups = group_events(keyed, "rank_pos", ["rank_pos"])
+    groups = stored(group_events(keyed, "rank_pos", ["rank_pos"]), "event-groups")
     joined = keyed.join(groups.withColumnRenamed("pos", "rank_pos"), "rank_pos")
     primary = joined.where("leader = rank_pos")
     order = rank_order(preferred)
@@ -203,10 +209,9 @@ def select_candidates(rows: DataFrame, now: Column, minimum: int = 5, maximum: i
     else:
         chosen = backfill(primary, order, minimum, maximum)
     extra = corroborating(joined.where("leader <> rank_pos").join(chosen.select(F.col("rank_pos").alias("leader"), F.col("url").alias("primary_url"), "place"), "leader"))
-    counts = shaped.agg(
-        F.count("*").alias("raw"), F.count_if("__valid").alias("valid"), F.count_if(F.expr("__valid and score is not null")).alias("relevant"),
-        F.count_if(F.expr("__valid and score is null")).alias("rejected"),
-    ).join(chosen.agg(*[F.count_if(F.col("bucket") == b).alias(b) for b in ("recent", "fallback", "unknown")]), how="cross").join(joined.agg(F.count_if(F.expr("leader <> rank_pos")).alias("duplicates")), how="cross")
+    seen = [F.lit(funnel.get[c]).cast("long").alias(c) for c in ("raw", "valid", "relevant", "rejected")]
+    duplicates = groups.agg(F.count_if(F.expr("leader <> pos")).alias("duplicates"))
+    counts = chosen.agg(*[F.count_if(F.col("bucket") == b).alias(b) for b in ("recent", "fallback", "unknown")]).select(*seen, "*").join(duplicates, how="cross")  # one row each
     return chosen, extra, counts
 
 
