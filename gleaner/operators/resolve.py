@@ -1,4 +1,9 @@
-"""Entity resolution: notices to projects, reports to financings."""
+"""Entity resolution: notices to projects, reports to financings.
+
+Both folds are sequential by definition, as each decision changes what the next one sees.  They run in lossless blocks:
+rows that no rule can bring together, directly or over others, are folded apart, so even one buyer's or company's rows
+spread over many tasks.  Titles that may be alike are found by an exact similarity join, not by comparing all pairs.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +12,17 @@ from datetime import date, timedelta
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
+from ..functions.urls import normalize_url
+from ..sources.shared import stored
+from .blocks import block_ids
+
 DAY_US = 86_400_000_000
 LIFECYCLE_MONTHS = 18
+SUSPECTED, SAME = 0.75, 0.9
 
 
 def months_after(us: int, months: int) -> int:
@@ -64,77 +75,216 @@ def plain_match(event: dict, projects: list[dict], total: int) -> dict:
     if event["rebid"]:
         if p in aligned:
             return out("suspected", p, "rebid_core_title_mismatch", best)
-        return out("suspected", p, "rebid_code_unaligned", best) if best >= 0.75 else out("new_project", score=best)
+        return out("suspected", p, "rebid_code_unaligned", best) if best >= SUSPECTED else out("new_project", score=best)
     if event["title"] == p["title"]:
         return out("same_project", p, "same_buyer_title", 1.0)
     timely = p["latest_us"] is None or p["latest_us"] <= event["us"] <= p["span_end_us"]
-    if best >= 0.9 and timely:
+    if best >= SAME and timely:
         return out("same_project", p, "title_similarity", best)
-    if best >= 0.75:
-        return out("suspected", p, "invalid_lifecycle_timing" if best >= 0.9 else "title_similarity", best)
+    if best >= SUSPECTED:
+        return out("suspected", p, "invalid_lifecycle_timing" if best >= SAME else "title_similarity", best)
     return out("new_project", score=best)
 
 
-def fold_projects(events: DataFrame, order: str = "pos") -> DataFrame:
-    """(pos, project, relation, reason, score): events resolved one after another inside each buyer's block.
+# --------------------------------------------------------------------- titles that may be alike
+def numbered_characters(title: Column) -> Column:
+    """A title's characters as a set: each with the number of its occurrence."""
+    chars = F.array_sort(F.filter(F.split(title, ""), lambda c: c != ""))
+    return F.transform(chars, lambda c, i: F.concat(c, (i - F.array_position(chars, c)).cast("string")))
+
 
-    A buyer mismatch always excludes, so the buyer is a lossless block; titles, codes and markers are columns already.
-    events: pos, buyer, category, title, codes, base_codes, rebid, year, year_stated, batch, lot, us.
+def alike_titles(titles: DataFrame, at: str, scope: str, title: str, least: float = SUSPECTED) -> DataFrame:
+    """(a, b, bound): pairs of one scope, a < b, whose lengths and characters allow a similarity of `least`.
+
+    The similarity is twice the matching characters over all characters, so it is at most `bound`, twice the common
+    characters over all.  With n characters a title has least / (2 - least) * n of them in common with any partner; the
+    first of these in an order by rarity stands among its n - need + 1 rarest.  Only titles that share such a character
+    meet, only if both have enough characters from there on and their lengths allow it, and of those only pairs within
+    the bound are returned.  No pair that reaches `least` is lost.  titles: different titles per scope.
     """
+    rows = titles.select(F.col(at).alias("at"), F.col(scope).alias("scope"), numbered_characters(F.col(title)).alias("t"))
+    sets = stored(rows.withColumn("n", F.size("t")).where("n > 0"), "title-sets")
+    each = sets.select("at", "scope", "n", F.explode("t").alias("c"))
+    rare = each.groupBy("scope", "c").agg(F.count("*").alias("df")).where("df > 1")
+    # A character of one title only finds nobody, but stays in the order: it takes a place of the prefix.
+    ordered = each.join(rare, ["scope", "c"], "left").groupBy("at", "scope", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "c"))).alias("o"))
+    need = F.ceil(F.col("n") * (least / (2 - least)) - 1e-9)
+    prefix = ordered.select("at", "scope", "n", F.posexplode(F.slice("o", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("p", "x")).select("at", "scope", "n", "p", F.col("x.c").alias("c"), F.col("x.df").alias("df")).where("df > 1")
+    prefix = stored(prefix.drop("df"), "title-prefixes")
+    other = prefix.select("scope", "c", F.col("at").alias("at2"), F.col("n").alias("n2"), F.col("p").alias("p2"))
+    both = (F.col("n") + F.col("n2")) * (least / 2) - 1e-9
+    met = prefix.join(other, ["scope", "c"]).where((F.col("at") < F.col("at2")) & (F.least("n", "n2") >= both) & (F.col("n") - F.col("p") >= both) & (F.col("n2") - F.col("p2") >= both))
+    pairs = met.select(F.col("at").alias("a"), F.col("at2").alias("b")).distinct()
+    left, right = sets.select(F.col("at").alias("a"), F.col("t").alias("ta"), F.col("n").alias("na")), sets.select(F.col("at").alias("b"), F.col("t").alias("tb"), F.col("n").alias("nb"))
+    bound = 2.0 * F.size(F.array_intersect("ta", "tb")) / (F.col("na") + F.col("nb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", bound.alias("bound")).where(F.col("bound") >= least - 1e-12)
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        projects: list[dict] = []
-        rows = []
-        for e in part.sort_values(order, kind="stable").to_dict("records"):
-            e = {k: None if isinstance(v, float) and v != v else v for k, v in e.items()}
-            d = plain_match(e, projects, max(2, len(projects)) if projects else 0)
-            if d["relation"] == "same_project":
-                own = next(p for p in projects if p["id"] == d["project_id"])
-                own["latest_us"] = max(own["latest_us"], e["us"])
-                own["codes"] = sorted({*own["codes"], *e["codes"]})
-                own["base_codes"] = sorted({*own["base_codes"], *e["base_codes"]})
-            elif d["relation"] == "new_project":
-                own = {k: e[k] for k in ("buyer", "category", "title", "year", "batch", "lot")} | {"id": f"{int(e['pos']):012d}", "codes": list(e["codes"]), "base_codes": list(e["base_codes"]), "latest_us": e["us"]}
-                projects.append(own)
-            else:
-                own = None
-            if own:
-                own["span_end_us"] = months_after(own["latest_us"], LIFECYCLE_MONTHS)
-            rows.append((e["pos"], own and own["id"], d["relation"], d["reason"], float(d["score"])))
-        return pd.DataFrame(rows, columns=["pos", "project", "relation", "reason", "score"])
-
-    return events.groupBy("buyer").applyInPandas(run, "pos long, project string, relation string, reason string, score double")
-
-
-def fold_financings(reports: DataFrame, same_terms_days: int = 7, shared_source_days: int = 45) -> DataFrame:
-    """(pos, financing): reports of one company resolved in order by fingerprint, a unique shared source, or unique terms.
-
-    reports: pos, company, day (days since epoch), round, amount, source, fingerprint.
+
+# --------------------------------------------------------------------- projects
+def _project_blocks(rows: DataFrame) -> DataFrame:
+    """(pos, block): rows that share a code, a base code, a title or an alike title with the same buyer and category."""
+    scope = F.concat_ws("\x01", F.coalesce("buyer", F.lit("\x02")), F.coalesce("category", F.lit("\x02")))
+    scoped = rows.select("pos", scope.alias("scope"), "title", "codes", "base_codes")
+    tagged = lambda kind, values: F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.concat_ws("\x01", F.lit(kind), "scope", v))
+    keys = F.concat(tagged("c", F.col("codes")), tagged("b", F.col("base_codes")), tagged("t", F.array(F.coalesce("title", F.lit("")))))
+    scoped = stored(scoped, "project-rows")
+    titles = scoped.groupBy("scope", "title").agg(F.min("pos").alias("at"))
+    return block_ids(scoped, "pos", keys, alike_titles(titles, "at", "scope", "title").select("a", "b"))
+
+
+_EVENT = ("buyer", "category", "title", "year", "batch", "lot")
+
+
+def _plain(row: dict) -> dict:
+    return {k: None if isinstance(v, float) and v != v else v for k, v in row.items()}
+
+
+def _project(row: dict) -> dict:
+    own = {k: row[k] for k in _EVENT} | {"id": row["id"], "codes": list(row["codes"]), "base_codes": list(row["base_codes"]), "latest_us": row["us"]}
+    return own | {"span_end_us": None if row["us"] is None else months_after(row["us"], LIFECYCLE_MONTHS)}
+
+
+def _fold_block(part: pd.DataFrame) -> pd.DataFrame:
+    projects: list[dict] = []
+    out = []
+    for e in map(_plain, part.sort_values("pos", kind="stable").to_dict("records")):
+        if e["known"]:
+            projects.append(_project(e))
+            continue
+        d = plain_match(e, projects, 1 if len(projects) == 1 else 2)
+        own, alone = None, None
+        if d["relation"] == "same_project":
+            own = next(p for p in projects if p["id"] == d["project_id"])
+            own["latest_us"] = e["us"] if own["latest_us"] is None else max(own["latest_us"], e["us"])
+            own["codes"], own["base_codes"] = sorted({*own["codes"], *e["codes"]}), sorted({*own["base_codes"], *e["base_codes"]})
+            own["span_end_us"] = months_after(own["latest_us"], LIFECYCLE_MONTHS)
+        elif d["relation"] == "new_project":
+            alone, d = len(projects) and d["reason"] if len(projects) == 1 else None, d | {"reason": "no_match", "score": 0.0}
+            own = _project(e)
+            projects.append(own)
+        out.append((e["pos"], own and own["id"], d["relation"], d["reason"], float(d["score"]), alone, bool(d["relation"] == "new_project" and len(projects) == 1)))
+    return pd.DataFrame(out, columns=["pos", "project", "relation", "reason", "score", "alone", "first"])
+
+
+def _only_reason(folded: DataFrame, rows: DataFrame) -> tuple[int, str] | None:
+    """(pos, reason) of the event that opens the second project of all: it alone meets a list of one project."""
+    ahead = rows.where("known").limit(2).collect()  # two rows tell enough
+    opened = folded.where("relation = 'new_project'").orderBy("pos").limit(2).collect()
+    if len(ahead) > 1 or len(ahead) + len(opened) < 2:
+        return None
+    second = opened[1 - len(ahead)]
+    if not second["first"]:  # its block held the project
+        return second.pos, second.alone or "no_match"
+    event, only = (rows.where(F.col("pos") == p).first().asDict() for p in (second.pos, ahead[0].pos if ahead else opened[0].pos))
+    found = plain_match(event, [_project(only)], 1)
+    return second.pos, found["reason"] if found["relation"] == "new_project" else "no_match"
+
+
+def fold_projects(events: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(pos, project, relation, reason, score): events resolved one after another, in order of pos, from 0.
+
+    events: pos, buyer, category, title (core), codes, base_codes, rebid, year, year_stated, batch, lot, us.
+    known: projects of the state, id, buyer, category, title, codes, base_codes, year, batch, lot, latest_us.
+
+    A buyer or category mismatch always excludes, and every decision rests on a shared code, a shared base code or a
+    similarity of 0.75: these make the blocks.  So `score` is 0 for a new project, whose best similarity is below that.
+    Where the whole list holds one project, the reason of a new one is that project's first failing guard; this can be
+    one event only, the one that opens the second project, and it is settled after the fold.  New projects are named by
+    the position of their event in twelve digits; similarity ties go to the smallest name.
+    """
+    none = F.array().cast("array<string>")
+    rows = events.select(F.col("pos").cast("long").alias("pos"), F.lpad(F.col("pos").cast("string"), 12, "0").alias("id"), F.lit(False).alias("known"), *_EVENT, F.coalesce("codes", none).alias("codes"), F.coalesce("base_codes", none).alias("base_codes"), "rebid", "year_stated", "us")
+    if known is not None:
+        old = known.select((-1 - F.monotonically_increasing_id()).alias("pos"), "id", F.lit(True).alias("known"), *_EVENT, F.coalesce("codes", none).alias("codes"), F.coalesce("base_codes", none).alias("base_codes"), F.lit(False).alias("rebid"), F.lit(False).alias("year_stated"), F.col("latest_us").alias("us"))
+        rows = old.unionByName(rows)
+    rows = stored(rows, "project-events")
+    blocks = _project_blocks(rows)
+    schema = "pos long, project string, relation string, reason string, score double, alone string, first boolean"
+    folded = stored(rows.join(blocks, "pos").groupBy("block").applyInPandas(_fold_block, schema), "project-matches")
+    only = _only_reason(folded, rows)
+    reason = F.col("reason") if only is None else F.when(F.col("pos") == only[0], F.lit(only[1])).otherwise(F.col("reason"))
+    return folded.select("pos", "project", "relation", reason.alias("reason"), "score")
+
+
+# --------------------------------------------------------------------- financings
+def financing_terms(company: Column, subtype: Column, round_name: Column, disclosed: Column, amount: Column, investors: Column) -> Column:
+    """The terms by which reports of different days are one financing; null where too little is known.
+
+    company and round_name are normal forms, amount is text, investors an array of normal forms.
     """
+    kind = F.coalesce(subtype, F.when(round_name != "", F.lit("round_equity")))
+    names = F.array_sort(F.array_distinct(F.filter(F.coalesce(investors, F.array().cast("array<string>")), lambda i: i != "")))
+    vague = (company == "") | kind.isNull() | ((kind == "round_equity") & (round_name == "")) | (disclosed & amount.isNull()) | (amount.isNull() & (F.size(names) == 0))
+    terms = F.concat_ws("\x01", company, kind, round_name, disclosed.cast("string"), F.coalesce(amount, F.lit("\x02")), F.array_join(names, "\x03"))
+    return F.when(~F.coalesce(vague, F.lit(True)), terms)
+
+
+def prepared_financings(reports: DataFrame) -> DataFrame:
+    """The columns that fold_financings() needs, of reports in order of pos.
+
+    reports: pos, company, round_name, subtype, announced_at, amount_cny, disclosed, investors, urls.
+    """
+    from ..functions import ids
+
+    company, round_name = text.normalize_nfkc(F.col("company")), text.normalize_nfkc(F.coalesce("round_name", F.lit("")))
+    rows = reports.withColumn("__c", company).withColumn("__r", round_name).withColumn("__a", ids.amount_text(F.col("amount_cny").cast("double")))
+    names = F.transform(F.coalesce("investors", F.array().cast("array<string>")), lambda i: text.normalize(i))
+    rounds = text.rounds(F.col("round_name"))
+    return rows.select(
+        "pos", text.organization(F.col("company")).alias("identity"), rounds.alias("rounds"), F.coalesce("subtype", F.when(F.size(rounds) > 0, F.lit("round_equity"))).alias("kind"), F.datediff("announced_at", F.lit("1970-01-01").cast("date")).cast("long").alias("day"),
+        ids.financing_fingerprint(F.col("announced_at"), F.col("__a"), F.col("__c"), names, F.col("__r"), F.col("subtype")).alias("fingerprint"),
+        financing_terms(F.col("__c"), F.col("subtype"), F.col("__r"), F.coalesce("disclosed", F.lit(False)), F.col("__a"), names).alias("terms"),
+        F.array_distinct(F.transform(F.filter("urls", lambda u: u.isNotNull() & (u != "")), lambda u: normalize_url(u))).alias("urls"),
+    )
+
+
+def fold_financings(rows: DataFrame, same_terms_days: int = 7, shared_source_days: int = 45) -> DataFrame:
+    """(pos, financing): reports merged one after another, in order of pos, by three rules, the first that decides.
+
+    1. The fingerprint of the financing's first report.  2. Exactly one financing with a common source, the same company
+    and kind, rounds of which one set holds the other, and a first report at most 45 days apart.  3. Exactly one of the
+    same terms, at most 7 days apart.  A financing keeps the terms of its first report and unites the sources of all.
+    rows: pos, identity, rounds, kind, day, fingerprint, terms, urls (see prepared_financings).
+
+    A rule needs an equal fingerprint, equal terms, or a source of the same company, which make the blocks.
+    """
+    tagged = lambda kind, c: F.array(F.when(c.isNotNull(), F.concat_ws("\x01", F.lit(kind), c)))
+    sources = F.transform("urls", lambda u: F.concat_ws("\x01", F.lit("u"), "identity", u))
+    keys = F.concat(tagged("f", F.col("fingerprint")), tagged("t", F.col("terms")), F.when(F.coalesce(F.col("identity"), F.lit("")) != "", sources).otherwise(F.array().cast("array<string>")))
+    rows = stored(rows.select("pos", "identity", "rounds", "kind", "day", "fingerprint", "terms", "urls"), "financing-reports")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         known: list[dict] = []
-        rows = []
-        for e in part.sort_values("pos", kind="stable").to_dict("records"):
-            e = {k: None if isinstance(v, float) and v != v else v for k, v in e.items()}
-            rounds_fit = lambda f, e=e: bool(e["round"]) and e["round"] == f["round"]
-            found = [f for f in known if e["fingerprint"] in f["prints"]]
-            if not found:
-                shared = [f for f in known if e["source"] in f["sources"] and abs(e["day"] - f["day"]) <= shared_source_days and rounds_fit(f)]
-                terms = [f for f in known if e["amount"] is not None and e["amount"] == f["amount"] and rounds_fit(f) and abs(e["day"] - f["day"]) <= same_terms_days]
-                found = shared if len(shared) == 1 else terms if len(terms) == 1 else []
-            if found:
-                f = found[0]
-                f["prints"].add(e["fingerprint"])
-                f["sources"].add(e["source"])
-                f["day"], f["amount"] = max(f["day"], e["day"]), f["amount"] if e["amount"] is None else e["amount"]
-            else:
-                f = {"id": e["pos"], "day": e["day"], "round": e["round"], "amount": e["amount"], "sources": {e["source"]}, "prints": {e["fingerprint"]}}
-                known.append(f)
-            rows.append((e["pos"], f["id"]))
-        return pd.DataFrame(rows, columns=["pos", "financing"])
-
-    return reports.groupBy("company").applyInPandas(run, "pos long, financing long")
+        prints, by_url, by_terms = {}, {}, {}
+        out = []
+        for e in map(_plain, part.sort_values("pos", kind="stable").to_dict("records")):
+            mine, urls = frozenset(e["rounds"]), set(e["urls"])
+
+            def near(f, days, e=e):
+                return e["day"] is not None and f["day"] is not None and abs(e["day"] - f["day"]) <= days
+
+            def shared(f, e=e, mine=mine):
+                fits = f["identity"] == e["identity"] and f["kind"] == e["kind"] and mine and f["rounds"] and (mine <= f["rounds"] or f["rounds"] <= mine)
+                return bool(e["identity"] and fits) and near(f, shared_source_days)
+
+            found = prints.get(e["fingerprint"])
+            if found is None:
+                same = [k for k in sorted({k for u in urls for k in by_url.get(u, ())}) if shared(known[k])]
+                if len(same) != 1:
+                    same = [k for k in by_terms.get(e["terms"], ()) if near(known[k], same_terms_days)] if e["terms"] is not None else []
+                found = same[0] if len(same) == 1 else None
+            if found is None:
+                found = len(known)
+                known.append({"pos": e["pos"], "identity": e["identity"], "kind": e["kind"], "rounds": mine, "day": e["day"]})
+                prints.setdefault(e["fingerprint"], found)
+                if e["terms"] is not None:
+                    by_terms.setdefault(e["terms"], []).append(found)
+            for u in urls:
+                by_url.setdefault(u, set()).add(found)
+            out.append((e["pos"], known[found]["pos"]))
+        return pd.DataFrame(out, columns=["pos", "financing"])
+
+    return rows.join(block_ids(rows, "pos", keys), "pos").groupBy("block").applyInPandas(run, "pos long, financing long")
 
 
 def overlap_anti(leads: DataFrame, verified: DataFrame, company: str, round_: str, when: str, days: int = 45) -> DataFrame:

@@ -45,6 +45,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def day_of(date: str) -> Column:
+    return F.datediff(date, F.lit("1970-01-01").cast("date"))
+
+
 def staged(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("stage", lx.mapped(F.col("event_type"), STAGE_OF, F.lit("other")))
 
@@ -295,15 +299,31 @@ def financing_fingerprint(spark, sf):
     return _printed(spark, sf).groupBy("fingerprint").agg(F.min("o_orderkey").alias("first_order"), F.count("*").alias("n"))
 
 
-@query()
+_ROUND_OF = {"1-URGENT": "A轮", "2-HIGH": "A轮、B轮", "3-MEDIUM": "B轮", "5-LOW": "Pre-A轮"}
+_LEAD_SQL = "{'pos': pos, 'day': day, 'rounds': rounds, 'kind': kind, 'fp': fp, 'terms': terms, 'urls': urls}"
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT o_orderkey AS pos, o_custkey AS company, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) % 90 AS INTEGER) AS day, CASE WHEN o_orderkey % 5 <> 0 THEN floor(o_totalprice / 100000) END AS amount,
+  o_orderstatus AS st, o_orderpriority AS pr, ['x/' || o_orderkey % 4, 'y/' || CAST(floor(o_totalprice) AS BIGINT) % 6] AS urls FROM orders),
+ r AS (SELECT pos, company, day, amount, urls, CASE pr WHEN '1-URGENT' THEN ['a'] WHEN '2-HIGH' THEN ['a', 'b'] WHEN '3-MEDIUM' THEN ['b'] WHEN '5-LOW' THEN ['prea'] ELSE [] END AS rounds, CASE WHEN pr = '4-NOT SPECIFIED' THEN 'strategic' ELSE 'round_equity' END AS kind,
+  concat_ws('/', day, coalesce(amount, -1), st, pr) AS fp, concat_ws('/', pr, coalesce(amount, -1), st) AS terms, row_number() OVER (PARTITION BY company ORDER BY pos) AS k FROM o),
+ s AS (SELECT company, k, pos, pos AS financing, [{_LEAD_SQL}] AS ls FROM r WHERE k = 1
+  UNION ALL SELECT company, k, pos, coalesce(f, pos), CASE WHEN f IS NULL THEN list_append(ls, {_LEAD_SQL}) ELSE list_transform(ls, lambda l: CASE WHEN l.pos = f THEN {{'pos': l.pos, 'day': l.day, 'rounds': l.rounds, 'kind': l.kind, 'fp': l.fp, 'terms': l.terms, 'urls': list_concat(l.urls, urls)}} ELSE l END) END
+  FROM (SELECT *, coalesce(x[1].pos, CASE WHEN len(y) = 1 THEN y[1].pos END, CASE WHEN len(z) = 1 THEN z[1].pos END) AS f FROM (SELECT r.*, s.ls, list_filter(s.ls, lambda l: l.fp = r.fp) AS x, list_filter(s.ls, lambda l: l.terms = r.terms AND abs(l.day - r.day) <= 7) AS z,
+   list_filter(s.ls, lambda l: list_has_any(l.urls, r.urls) AND l.kind = r.kind AND abs(l.day - r.day) <= 45 AND len(l.rounds) > 0 AND len(r.rounds) > 0 AND (list_has_all(l.rounds, r.rounds) OR list_has_all(r.rounds, l.rounds))) AS y FROM s JOIN r ON r.company = s.company AND r.k = s.k + 1)))
+ SELECT financing, count(*) AS reports, min(pos) AS first_report, max(day) - min(day) AS days, max(amount) AS most FROM s JOIN (SELECT pos, day, amount FROM r) USING (pos) GROUP BY 1""")
 def financing_merge(spark, sf):
-    """Reports of one company fold into financings; each merges its sources and amounts."""
-    rows = _printed(spark, sf).select(
-        F.col("o_orderkey").alias("pos"), F.col("o_custkey").cast("string").alias("company"), F.datediff("o_orderdate", F.lit("1970-01-01").cast("date")).cast("long").alias("day"),
-        F.col("o_orderpriority").alias("round"), F.floor(F.col("o_totalprice") / 100000).cast("double").alias("amount"), F.col("o_orderstatus").alias("source"), "fingerprint", "o_orderdate",
+    """Orders of a customer as reports of its financings, merged in order by fingerprint, shared source or terms."""
+    day = (F.datediff("o_orderdate", F.lit("1970-01-01").cast("date")) % 90).cast("int")
+    amount = F.when(F.col("o_orderkey") % 5 != 0, F.floor(F.col("o_totalprice") / 100000).cast("double"))
+    reports = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("pos"), F.concat(F.lit("客户"), F.col("o_custkey").cast("string")).alias("company"), lx.mapped(F.col("o_orderpriority"), _ROUND_OF, F.lit(None).cast("string")).alias("round_name"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("strategic")).alias("subtype"), F.date_from_unix_date(day).alias("announced_at"), amount.alias("amount_cny"), amount.isNotNull().alias("disclosed"), F.array("o_orderstatus").alias("investors"),
+        F.array(F.concat(F.lit("http://x.cn/"), (F.col("o_orderkey") % 4).cast("string")), F.concat(F.lit("http://y.cn/"), (F.floor("o_totalprice") % 6).cast("string"))).alias("urls"),
     )
-    folded = resolve.fold_financings(rows.drop("o_orderdate"))
-    return state.merge_financings(rows.join(folded, "pos"), F.col("financing"), "o_orderdate", "amount", "source").withColumn("sources", F.array_join("sources", ","))
+    rows = reports.select("pos", day_of("announced_at").alias("day"), F.col("amount_cny").alias("amount"))
+    merged = resolve.fold_financings(resolve.prepared_financings(reports)).join(rows, "pos")
+    return merged.groupBy("financing").agg(F.count("*").alias("reports"), F.min("pos").alias("first_report"), (F.max("day") - F.min("day")).alias("days"), F.max("amount").alias("most"))
 
 
 @query(f"""WITH o AS (SELECT CAST(user_id AS VARCHAR) AS url, max(ts) AS first_seen FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1), n AS (SELECT CAST(user_id AS VARCHAR) AS url, arg_max(event_type, event_id) AS reason, count(*) AS more FROM events WHERE event_type IN ('view', 'click') AND ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
