@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,11 +23,16 @@ BATCH_BYTES = 8 << 20
 
 # --------------------------------------------------------------------- shared storage
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, an own one, but only if all of Spark runs on this machine (tests).
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
         found = spark.sparkContext.getCheckpointDir()
     return found

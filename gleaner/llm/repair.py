@@ -198,7 +198,10 @@ def write(df: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, base:
     docs = with_text(df, id_col, text_col)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     cuts = splitters(docs.select(key.alias("key")), "key", 3 * parts(df.sparkSession))
-    ranged = docs.withColumn("range", range_of(key, cuts).cast("int")).repartition(parts(df.sparkSession), "range").sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "text")
+    # Neighbouring ranges go to one task, in order: the files in order of their names are the documents in order.
+    tasks = parts(df.sparkSession)
+    ranged = docs.withColumn("range", range_of(key, cuts).cast("int"))
+    ranged = ranged.repartitionById(tasks, F.expr(f"cast(range * {tasks}L div {max(1, len(cuts))} as int)")).sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches):
         e = encoder(vocabulary, cut_before_spaces)

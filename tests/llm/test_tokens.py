@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
+import pyarrow.parquet as pq
 import regex
 import tiktoken
 from tokenizers import Tokenizer
@@ -153,3 +154,16 @@ def test_repair_goes_on_until_no_pair_pays():
     assert np.unique(pairs, axis=0, return_counts=True)[1].max() < repair.MIN_COUNT and lengths.max() > 64
     shard = repair.Shard(repair.write_shard(ids, starts))
     assert all((a == b).all() for a, b in zip(shard.documents(), docs, strict=True)) and (shard.ids(7) == docs[7]).all()
+
+
+def test_shard_files_are_in_document_order(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(rng.randrange(-500, 5000), " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(rng.randrange(40)))) for _ in range(600)]
+    path = str(tmp_path / "shards")
+    repair.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), path, P.path(repair.VOCABULARY), shard_ids=900)
+    files = [pq.read_table(f).to_pylist() for f in sorted((tmp_path / "shards").glob("part-*"))]
+    assert sum(map(bool, files)) == 4  # every task has its ranges
+    order = [d for rows in files for r in rows for d in r["doc_ids"]]
+    assert order == sorted(d for d, _ in rows)
+    places = [(r["range"], r["block"]) for rows in files for r in rows]
+    assert places == sorted(places)
