@@ -15,3 +15,23 @@ def test_entry_without_llm(tmp_path):
     env = {**os.environ, "PYTHONPATH": str(tmp_path)}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
+
+
+def test_entry_where_the_subpackage_cannot_be_imported():
+    """A library that the subpackage needs is missing: the other queries stay."""
+    root = str(Path(__file__).resolve().parents[1])
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; q = e.queries(); assert 'url_normalize' in q and set(e.oracle_sql()) <= set(q)"
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": root}, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from gleaner.sources import shared
+
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[2,1,1024]"))
+    with pytest.raises(RuntimeError, match="share"):
+        shared.shared_dir(session)
