@@ -89,11 +89,6 @@ def aliases(names: pd.Series) -> pd.Series:
     return names.map(plain_aliases)
 
 
-def bare_name(value: Column) -> Column:
-    """A name without white space, brackets and its legal form, lower case."""
-    return F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)[\s·•（）()“”\"']", "")), "(?:有限责任公司|股份有限公司|有限公司|公司)$", "")
-
-
 def title_key(title: Column) -> Column:
     return F.regexp_replace(F.lower(title), r"(?U)[\s*｜|_\-—:：·•（）()“”\"'，,]+", "")
 
@@ -143,45 +138,6 @@ def first_registered(host: Column, domains: Sequence[str]) -> Column:
     return out
 
 
-def matching_alias(value: Column, names: Sequence[str]) -> Column:
-    """The alias that a name equals, holds or is held in: equal ones first, then the shortest, then by text."""
-    own = bare_name(value)
-    each = [F.struct(F.when(bare_name(F.lit(a)) == own, 0).otherwise(1).alias("k"), F.lit(len(a)).alias("n"), F.lit(a).alias("a")) for a in names]
-    fits = F.filter(F.array(*each), lambda x: (own != "") & (bare_name(x["a"]) != "") & (own.contains(bare_name(x["a"])) | bare_name(x["a"]).contains(own)))
-    return F.array_min(fits)["a"]
-
-
-def alias_in_text(value: Column, names: Sequence[str]) -> Column:
-    """The shortest alias that a text holds."""
-    said = bare_name(value)
-    each = [F.struct(F.lit(len(a)).alias("n"), F.lit(a).alias("a")) for a in names]
-    return F.array_min(F.filter(F.array(*each), lambda x: (bare_name(x["a"]) != "") & said.contains(bare_name(x["a"]))))["a"]
-
-
-def official_clues(organization: Column, investors: Column, evidence: Column, candidate: Column, companies: Mapping[str, Sequence[str]], backers: Mapping[str, Sequence[str]]) -> Column:
-    """(domains, aliases, layers) of official sites: structured fields first, then quotes and the candidate's text."""
-    found = []
-
-    def add(domain, alias, layer):
-        found.append(F.when(alias.isNotNull(), F.array(F.struct(F.lit(domain).alias("d"), alias.alias("a"), F.lit(layer).alias("l")))))
-
-    for d, names in companies.items():
-        add(d, matching_alias(organization, names), "structured")
-
-    def invested(domain, names):
-        hits = F.filter(F.transform(F.coalesce(investors, F.array().cast("array<string>")), lambda i: matching_alias(i, names)), lambda x: x.isNotNull())
-        return F.transform(hits, lambda a: F.struct(F.lit(domain).alias("d"), a.alias("a"), F.lit("structured").alias("l")))
-
-    found += [invested(d, names) for d, names in backers.items()]
-    for registry in (backers, companies):
-        for d, names in registry.items():
-            add(d, alias_in_text(evidence, names), "evidence")
-            add(d, alias_in_text(candidate, names), "candidate")
-    every = F.flatten(F.array_compact(F.array(*found)))
-    pick = lambda f: F.array_distinct(F.transform(every, lambda x: x[f]))
-    return F.struct(pick("d").alias("domains"), pick("a").alias("aliases"), pick("l").alias("layers"))
-
-
 def gap_terms(gaps: Column) -> Column:
     table = F.create_map(*[F.lit(x) for kv in GAP_QUERIES.items() for x in kv])
     return F.array_join(F.array_distinct(F.array_compact(F.transform(gaps, lambda g: table[g]))), " ")

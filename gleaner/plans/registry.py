@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, extract, ids, text, urls
 from ..functions import lexicon as lx
-from ..operators import claims, enrich, followup, report, resolve, select, state, verify
+from ..operators import aliases, claims, enrich, followup, report, resolve, select, state, verify
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -539,6 +539,18 @@ def event_rows(spark, sf):
     return state.event_rows(rows).select("page_id", F.col("content_version_id").alias("version"), "fingerprint", "event_id")
 
 
+_BARE_SQL = r"""regexp_replace(lower(regexp_replace({0}, '[\s·•（）()“”"'']', '', 'g')), '(?:有限责任公司|股份有限公司|有限公司|公司)$', '')"""
+
+
+@query(f"""WITH r AS (SELECT 'd' || item_id % 13 AS domain, array_to_string(string_split(text, ' ')[1:2], ' ') AS alias FROM benchmark)
+ SELECT doc_id, domain, arg_min(alias, struct_pack(n := length(alias), a := alias)) AS alias FROM documents JOIN r ON {_BARE_SQL.format("alias")} <> '' AND contains({_BARE_SQL.format("text")}, {_BARE_SQL.format("alias")}) GROUP BY 1, 2""")
+def registry_names(spark, sf):
+    """The first two words of benchmark items as names of thirteen domains, in all documents."""
+    items = table(spark, sf, "benchmark").withColumn("place", (F.col("item_id") % 13).cast("int"))
+    registry = items.select(F.lit("company").alias("kind"), "place", F.concat(F.lit("d"), F.col("place").cast("string")).alias("domain"), F.array_join(F.slice(F.split("text", " "), 1, 2), " ").alias("alias"))
+    return aliases.named_in(table(spark, sf, "documents"), registry, "doc_id", "text").select("doc_id", "domain", "alias")
+
+
 # --------------------------------------------------------------------- report rows
 _TYPE_OF = {"view": "procurement_intention", "click": "tender", "signup": "candidate", "purchase": "award", "error": "change"}
 

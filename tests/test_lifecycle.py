@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions import extract, ids, text
-from gleaner.operators import enrich, followup, report, resolve, state
+from gleaner.operators import aliases, enrich, followup, report, resolve, state
 
 D = dt.datetime
 EV = "array<struct<field:string,quote:string,source_url:string>>"
@@ -84,8 +84,9 @@ def test_aliases_and_lead_groups(spark):
 
 def test_clues_and_queries(spark):
     none = F.lit(None).cast("array<string>")
-    clues = followup.official_clues(F.lit("北京天穹有限公司"), F.array(F.lit("红杉资本")), F.lit("高瓴领投"), F.lit("标题"), {"tq.cn": ["天穹", "北京天穹"]}, {"hs.cn": ["红杉"], "gl.cn": ["高瓴"]})
-    c = one(spark, clues)
+    leads = spark.createDataFrame([(7, "北京天穹有限公司", ["红杉资本"], "高瓴领投", "标题")], "lead_id long, organization string, investors array<string>, evidence string, candidate string")
+    registry = spark.createDataFrame([("company", 0, "tq.cn", "天穹"), ("company", 0, "tq.cn", "北京天穹"), ("investor", 0, "hs.cn", "红杉"), ("investor", 1, "gl.cn", "高瓴")], "kind string, place int, domain string, alias string")
+    (c,) = aliases.official_clues(leads, registry).collect()
     assert (c.domains, c.aliases, c.layers) == (["tq.cn", "hs.cn", "gl.cn"], ["北京天穹", "红杉", "高瓴"], ["structured", "evidence"])
     q = followup.queries_for(F.lit("commercial_space_financing"), F.lit("天穹"), F.lit("t"), F.lit("A轮"), none, F.array(F.lit("amount")), F.array(F.lit("tq.cn")), F.array(F.lit("a.cn")), ["a.cn", "b.cn"])
     got = one(spark, q)
