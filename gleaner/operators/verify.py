@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,21 +94,94 @@ def decision(a: dict[str, Column]) -> tuple[Column, Column]:
     return cascade(rules, "pending", "financing_requires_official_or_two_independent_b_sources")
 
 
+def related(a: str, b: str) -> bool:
+    """Equal domains, or one below the other."""
+    return a == b or a.endswith("." + b) or b.endswith("." + a)
+
+
+def first_strangers(rows: list[tuple]) -> list[tuple]:
+    """Of rows (pos, domain, content) in order, those that are the first unrelated row of some domain.
+
+    The domains for which all kept rows are related ones are known by one name: while the kept domains lie below each
+    other, those above or below the lowest of them; once two of them fork, those at or above the fork.
+    """
+    kept, name, forked = [], None, False
+    for row in rows:
+        domain = row[1]
+        if name is None:
+            kept, name = [row], domain
+        elif not forked and domain.endswith("." + name):
+            kept.append(row)
+            name = domain
+        elif not related(domain, name):
+            kept.append(row)
+            a, b = name.split("."), domain.split(".")
+            n = next((i for i in range(1, min(len(a), len(b)) + 1) if a[-i] != b[-i]), min(len(a), len(b)) + 1) - 1
+            if not n:
+                break  # no domain is related to both
+            name, forked = ".".join(a[-n:]), True
+    return kept
+
+
+def summary(rows: list[tuple]) -> list[tuple]:
+    """The rows (pos, domain, content) that can be a row's first partner: of another, unrelated domain and content.
+
+    For contents that no first stranger has, the first strangers suffice; for each content that one has, the first
+    strangers among rows of other contents.  Their number is bounded by the depth of domain names, squared, however many
+    rows there are, and the summary of joined summaries is the summary of all their rows.
+    """
+    rows = sorted(set(rows))
+    lead = first_strangers(rows)
+    kept = set(lead)
+    for content in {r[2] for r in lead}:
+        kept.update(first_strangers([r for r in rows if r[2] != content]))
+    return sorted(kept)
+
+
+#: Rows of one key, and keys, that a task holds before it summarises and gives them on.
+_HELD_ROWS, _HELD_KEYS = 512, 20_000
+
+
 def corroboration(rows: DataFrame, key: Sequence[str], pos: str, domain: str, content: str) -> DataFrame:
     """(pos, corroborator): the first other row of the key from an independent domain with different content.
 
-    Never all pairs of a key: rows are first reduced to the earliest of each (key, domain, content), and of these only
-    the three earliest with distinct domains and contents can be a row's first partner.
+    Never all pairs of a key, and never all its rows in one place: each task summarises its own rows of a key, the
+    summaries of a key are summarised once more, and each row meets that bounded list.  Rows with a null key have no
+    result; a row without a domain or content has no partner and is none.
     """
     keys = list(key)
-    firsts = rows.groupBy(*keys, domain, content).agg(F.min(pos).alias("p"))
-    by_domain = firsts.groupBy(*keys, domain).agg(F.slice(F.array_sort(F.collect_set(F.struct("p", content))), 1, 2).alias("own"))
-    # Two contents for each domain suffice: one of them differs from any given row's content.
-    partners = by_domain.select(*keys, F.col(domain).alias("d2"), F.explode("own").alias("o")).select(*keys, "d2", F.col("o.p").alias("p2"), F.col(f"o.{content}").alias("c2"))
-    few = partners.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("p2", "d2", "c2"))).alias("list"))
-    own = rows.select(*keys, pos, domain, content).join(few, keys)
-    related = lambda x: (x == F.col(domain)) | x.endswith(F.concat(F.lit("."), F.col(domain))) | F.col(domain).endswith(F.concat(F.lit("."), x))
-    found = F.filter("list", lambda o: ~related(o["d2"]) & (o["c2"] != F.col(content)))
+    names = [*keys, "__p", "__d", "__c"]
+    usable = rows.select(*keys, F.col(pos).alias("__p"), F.col(domain).alias("__d"), F.col(content).alias("__c")).dropna()
+    schema = usable.schema
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list] = {}
+
+        def given() -> pd.DataFrame:
+            return pd.DataFrame([(*k, *r) for k, own in held.items() for r in summary(own)], columns=names)
+
+        for part in batches:
+            for row in part.itertuples(index=False, name=None):
+                own = held.setdefault(row[:-3], [])
+                own.append(row[-3:])
+                if len(own) >= _HELD_ROWS:
+                    held[row[:-3]] = summary(own)
+            if len(held) > _HELD_KEYS:
+                yield given()
+                held.clear()
+        yield given()
+
+    def joined(part: pd.DataFrame) -> pd.DataFrame:
+        own = summary(list(part[["__p", "__d", "__c"]].itertuples(index=False, name=None)))
+        return pd.DataFrame([(*part.iloc[0][keys], *r) for r in own], columns=names)
+
+    # Two levels: the summaries of many tasks do not meet in one task at once.
+    some = usable.mapInPandas(partial, schema).withColumn("__salt", F.pmod(F.xxhash64("__p"), F.lit(32)))
+    some = some.groupBy(*keys, "__salt").applyInPandas(joined, schema).groupBy(*keys).applyInPandas(joined, schema)
+    few = some.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("__p").alias("p2"), F.col("__d").alias("d2"), F.col("__c").alias("c2")))).alias("__list"))
+    own = rows.select(*keys, pos, domain, content).join(few, keys, "left").dropna(subset=keys)
+    akin = lambda x: (x == F.col(domain)) | x.endswith(F.concat(F.lit("."), F.col(domain))) | F.col(domain).endswith(F.concat(F.lit("."), x))
+    found = F.filter("__list", lambda o: ~akin(o["d2"]) & (o["c2"] != F.col(content)))
     return own.select(pos, F.get(found, F.lit(0))["p2"].alias("corroborator"))
 
 
