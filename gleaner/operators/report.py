@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import clock
 from ..functions import lexicon as lx
 from ..functions.text import escape_markdown, money, short_summary
+from ..sources.shared import stored
+from .aliases import found_names
 from .blocks import fold
 
 
@@ -187,12 +189,22 @@ def same_signal(left: dict, right: dict, days: int = 45) -> bool:
     return not known or abs(int(left["day"]) - int(right["day"])) <= days
 
 
+def held_subjects(leads: DataFrame, pos: str, subject: str) -> DataFrame:
+    """(a, b): links of positions whose subjects hold one another, as few as connect them all."""
+    names = stored(leads.where(F.col(subject) != "").groupBy(F.col(subject).alias("alias")).agg(F.min(pos).alias("first")), "subjects")
+    same = leads.join(names, F.col(subject) == F.col("alias")).select(F.col("first").alias("a"), F.col(pos).alias("b"))
+    registry = names.select(F.lit("").alias("kind"), F.lit(0).alias("place"), F.col("first").cast("string").alias("domain"), "alias")
+    probes = names.select(F.col("first").alias("probe"), F.lit(0).alias("stage"), F.lit(0).alias("sub"), F.col("alias").alias("said"), F.lit(False).alias("as_name"), F.lit(None).cast("string").alias("kinds"))
+    inside = found_names(probes, registry, bare=lambda c: c).select(F.col("domain").cast("long").alias("a"), F.col("probe").alias("b"))
+    return same.unionByName(inside).where("a <> b")
+
+
 def group_signals(leads: DataFrame, pos: str, order: Sequence[str]) -> DataFrame:
-    """(pos, leader): leads of one financing, greedily in order; leads that share no round can never meet.
+    """(pos, leader): leads of one financing, greedily in order; only leads whose names hold one another can meet.
 
     leads: subject (see identity_text), rounds, amount, day.
     """
-    return fold(leads, pos, F.col("rounds"), order, same_signal)
+    return fold(leads, pos, F.array().cast("array<string>"), order, same_signal, held_subjects(leads, pos, "subject"))
 
 
 def merged_signals(leads: DataFrame) -> DataFrame:

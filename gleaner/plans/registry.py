@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, extract, ids, text, urls
 from ..functions import lexicon as lx
-from ..operators import aliases, claims, enrich, followup, report, resolve, select, state, verify
+from ..operators import aliases, claims, enrich, followup, report, resolve, select, signals, state, verify
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -551,6 +551,38 @@ def registry_names(spark, sf):
     return aliases.named_in(table(spark, sf, "documents"), registry, "doc_id", "text").select("doc_id", "domain", "alias")
 
 
+_SIGNAL_SQL = f"""WITH o AS (SELECT o_orderkey AS pos, '客户' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS name, o_orderstatus AS st, o_orderpriority AS pr, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) % 365 AS INTEGER) AS day, 'http://d/' || o_orderkey % 2900 AS url,
+  CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN 'eo_turret' ELSE '{lx.FINANCING}' END AS category, CASE o_orderpriority WHEN '1-URGENT' THEN 'A轮' WHEN '2-HIGH' THEN 'B轮' END AS round FROM orders),
+ x AS (SELECT *, name || CASE WHEN pr = '3-MEDIUM' THEN ' Pre-A轮融资' ELSE ' 融资' || pos END AS title FROM o),
+ v AS (SELECT name, CASE pr WHEN '1-URGENT' THEN ['a'] WHEN '2-HIGH' THEN ['b'] WHEN '3-MEDIUM' THEN ['prea'] ELSE [] END AS rounds, day FROM x WHERE st = 'F' AND pos % 2 = 0),
+ l AS (SELECT *, CASE WHEN st = 'P' THEN 1 WHEN st = 'F' THEN 2 ELSE 0 END AS branch, CASE WHEN st = 'O' AND round IS NOT NULL THEN round ELSE title END AS said FROM x WHERE category IS NOT NULL AND (st = 'P' OR (st = 'F' AND pos % 2 = 1) OR (st = 'O' AND pos % 4 <> 0))),
+ m AS (SELECT *, CASE said WHEN 'A轮' THEN ['a'] WHEN 'B轮' THEN ['b'] ELSE CASE WHEN contains(said, 'Pre-A') THEN ['prea'] ELSE [] END END AS mine FROM l),
+ k AS (SELECT * FROM m WHERE NOT (category = '{lx.FINANCING}' AND EXISTS (SELECT 1 FROM v WHERE v.name = m.name AND (len(v.rounds) = 0 OR list_has_any(v.rounds, m.mine)) AND abs(v.day - m.day) <= 45))),
+ d AS (SELECT *, CASE WHEN pos % 3 = 0 THEN 'e' || name ELSE concat_ws('|', category, name, coalesce(round, ''), title) END AS identity, pos % 7 AS n, pos % 2 = 0 AS graded FROM k WHERE branch = 0),
+ g AS (SELECT identity, 0 AS branch, min(pos) AS first_pos, arg_max(title, struct_pack(a := n, b := graded, c := url, d := -pos)) AS title, list_sort(list(DISTINCT url)) AS urls, bool_or(graded AND n >= 5) AS strong FROM d GROUP BY 1), s1 AS (SELECT DISTINCT unnest(urls) AS url FROM g),
+ p AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos) AS r FROM k WHERE branch = 1 AND url NOT IN (SELECT url FROM s1)),
+ c AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos) AS r FROM k WHERE branch = 2 AND url NOT IN (SELECT url FROM s1) AND url NOT IN (SELECT url FROM x WHERE st = 'P'))"""
+
+
+@query(f"""{_SIGNAL_SQL} SELECT branch, first_pos, title, CASE WHEN len(urls) >= 2 OR strong THEN 'high_confidence' ELSE 'candidate' END AS label, array_to_string(urls, ',') AS urls, identity FROM g
+ UNION ALL SELECT 1, pos, title, 'candidate', url, 'pending:' || pos FROM p WHERE r = 1 UNION ALL SELECT 2, pos, title, 'candidate', url, 'candidate:' || url FROM c WHERE r = 1""")
+def unverified_signals(spark, sf):
+    """Open orders as diagnostics, orders in process as the pool, half of the filled ones as candidates, the others as verified."""
+    k, pr = F.col("o_orderkey"), F.col("o_orderpriority")
+    name = F.concat(F.lit("客户"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"))
+    us = (F.pmod(day_of("o_orderdate"), F.lit(365)).cast("long") * 86_400_000_000).alias("published_us")
+    rows = table(spark, sf, "orders").select(
+        k.alias("pos"), "o_orderstatus", name.alias("organization"), F.concat(F.lit("http://d/"), (k % 2900).cast("string")).alias("url"), F.when(pr == "5-LOW", "eo_turret").when(pr != "4-NOT SPECIFIED", lx.FINANCING).alias("category"),
+        F.concat(name, F.when(pr == "3-MEDIUM", F.lit(" Pre-A轮融资")).otherwise(F.concat(F.lit(" 融资"), k.cast("string")))).alias("title"), F.when(pr == "1-URGENT", "A轮").when(pr == "2-HIGH", "B轮").alias("financing_round"), us,
+        F.when(k % 3 == 0, F.concat(F.lit("e"), name)).alias("event_key"), (k % 7).alias("evidence_count"), F.when(k % 2 == 0, "A").otherwise("C").alias("grade"), F.lit(None).cast("string").alias("amount"), F.lit(None).cast("string").alias("summary"),
+    ).withColumn("source_url", F.col("url"))
+    of = lambda s: rows.where(F.col("o_orderstatus") == s)
+    told = of("O").withColumn("status", F.when(F.col("pos") % 4 == 0, "verified").otherwise("pending"))
+    known = of("F").where("pos % 2 = 0").select(F.col("organization").alias("company"), F.when(F.col("category") == lx.FINANCING, F.coalesce("financing_round", F.lit("Pre-A轮"))).alias("round_name"), F.col("published_us").alias("announced_us"))
+    found = signals.surfaced(told, of("P").withColumn("item_id", F.col("pos").cast("string")), of("F").where("pos % 2 = 1"), known)
+    return found.select("branch", F.col("pos").alias("first_pos"), "title", "label", F.array_join("source_urls", ",").alias("urls"), "identity")
+
+
 # --------------------------------------------------------------------- report rows
 _TYPE_OF = {"view": "procurement_intention", "click": "tender", "signup": "candidate", "purchase": "award", "error": "change"}
 
