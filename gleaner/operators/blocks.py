@@ -7,7 +7,7 @@ leaders at once, in many tasks.  Both give what one pass over the rows in order
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -63,9 +63,9 @@ def key_links(df: DataFrame, pos: str, keys: Column) -> DataFrame:
 def block_ids(df: DataFrame, pos: str, keys: Column, links: DataFrame | None = None, max_rounds: int = 60) -> DataFrame:
     """(pos, block): the smallest position connected over shared keys, or over further links (a, b) of positions."""
     own = key_links(df, pos, keys)
-    found = stored(connected(own if links is None else own.unionByName(links.select(F.col("a").cast("long"), F.col("b").cast("long"))), max_rounds=max_rounds), "blocks")
+    found = connected(own if links is None else own.unionByName(links.select(F.col("a").cast("long"), F.col("b").cast("long"))), max_rounds=max_rounds)
     alone = df.select(F.col(pos).cast("long").alias("pos")).join(found, "pos", "left_anti").distinct()
-    return found.unionByName(alone.select("pos", F.col("pos").alias("block")))
+    return stored(found.unionByName(alone.select("pos", F.col("pos").alias("block"))), "blocks")
 
 
 # --------------------------------------------------------------------- greedy folds
@@ -92,13 +92,13 @@ def _keys(row: dict) -> list[str] | None:
     return None if keys is None else [k for k in keys if k is not None]
 
 
-def greedy_groups(rows: pd.DataFrame, same: Callable[[dict, dict], bool]) -> list[int]:
+def greedy_groups(rows: list[dict], same: Callable[[dict, dict], bool]) -> list[int]:
     """For each row, in order, the index of the first earlier group leader it equals, else its own.
 
     Rows of a column __keys are held against leaders of a shared key only.
     """
     leaders, places, out = Leaders(same), [], []
-    for i, row in enumerate(rows.to_dict("records")):
+    for i, row in enumerate(rows):
         keys = _keys(row)
         found = leaders.first(row, keys)
         if found is None:
@@ -108,30 +108,52 @@ def greedy_groups(rows: pd.DataFrame, same: Callable[[dict, dict], bool]) -> lis
     return out
 
 
+def in_blocks(blocked: DataFrame, order: Sequence[str], work: Callable[[list[dict]], list[tuple]], schema: str) -> DataFrame:
+    """What `work` makes of each block's rows, in order, nulls last; blocked has the column block.
+
+    Rows come sorted by block, so a task holds one block at a time, and small blocks cost no call of their own between
+    Spark and Python.
+    """
+    names = [field.strip().split(" ")[0] for field in schema.split(",")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[dict] = []
+        for part in batches:
+            out: list[tuple] = []
+            for row in part.to_dict("records"):
+                if held and held[0]["block"] != row["block"]:
+                    out += work(held)
+                    held = []
+                held.append(row)
+            yield pd.DataFrame(out, columns=names, dtype=object)
+        yield pd.DataFrame(work(held) if held else [], columns=names, dtype=object)
+
+    return blocked.repartition("block").sortWithinPartitions("block", *[F.asc_nulls_last(c) for c in order]).mapInPandas(run, schema)
+
+
 def fold(df: DataFrame, pos: str, keys: Column, order: Sequence[str], same: Callable[[dict, dict], bool], links: DataFrame | None = None, most: int = MOST, step: int = STEP) -> DataFrame:
     """(pos, leader): greedy first-leader clustering, inside lossless blocks, rows in the given order, nulls last.
 
     The relation need not be transitive: a row is held against group leaders only, the earliest first.  Rows that it
     relates must share a key, or else be connected by the links (a, b) of positions, if these are given.
     """
-    blocks = block_ids(df, pos, keys, links).select(F.col("pos").alias("__pos"), "block")
+    found = block_ids(df, pos, keys, links)
+    blocks = found.select(F.col("pos").alias("__pos"), "block")
     keyed = F.array_distinct(F.array_compact(keys)) if links is None else F.lit(None).cast("array<string>")
     blocked = df.withColumn("__keys", keyed).join(blocks, F.col(pos) == F.col("__pos")).drop("__pos")
-    crowded = blocked.groupBy("block").agg(F.count("*").alias("__n")).where(F.col("__n") > most).select("block")
-    run = _folding(pos, [*order, pos], same)
+    crowded = found.groupBy("block").agg(F.count("*").alias("__n")).where(F.col("__n") > most).select("block")
     if crowded.isEmpty():
-        return blocked.groupBy("block").applyInPandas(run, "pos long, leader long")
+        return _folded(blocked, pos, [*order, pos], same)
     crowded = stored(crowded, "crowded-blocks")
-    small = blocked.join(crowded, "block", "left_anti").groupBy("block").applyInPandas(run, "pos long, leader long")
+    small = _folded(blocked.join(crowded, "block", "left_anti"), pos, [*order, pos], same)
     return small.unionByName(fold_crowded(blocked.join(crowded, "block", "left_semi"), pos, order, same, step))
 
 
-def _folding(pos: str, names: list[str], same: Callable[[dict, dict], bool]):
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(names, kind="stable", na_position="last").reset_index(drop=True)
-        return pd.DataFrame({"pos": part[pos], "leader": part[pos].to_numpy()[greedy_groups(part, same)]})
+def _folded(blocked: DataFrame, pos: str, order: Sequence[str], same: Callable[[dict, dict], bool]) -> DataFrame:
+    def work(rows: list[dict]) -> list[tuple]:
+        return [(row[pos], rows[lead][pos]) for row, lead in zip(rows, greedy_groups(rows, same), strict=True)]
 
-    return run
+    return in_blocks(blocked, order, work, "pos long, leader long")
 
 
 def numbered(df: DataFrame, at: str = "__at") -> DataFrame:
@@ -153,8 +175,7 @@ def fold_crowded(blocked: DataFrame, pos: str, order: Sequence[str], same: Calla
     row is undecided; every later row then finds its first match among them, chunk by chunk in tasks of their own, and
     is decided if it has one.  The others go to the next round, still in order.
     """
-    names, run = [*order, pos], _folding(pos, ["__at"], same)
-    left = stored(blocked.orderBy("block", *[F.asc_nulls_last(c) for c in names]).withColumn("__at", F.monotonically_increasing_id()), "crowded-rows")
+    left = stored(blocked.orderBy("block", *[F.asc_nulls_last(c) for c in (*order, pos)]).withColumn("__at", F.monotonically_increasing_id()), "crowded-rows")
     done: DataFrame | None = None
 
     def match(rows: pd.DataFrame, leads: pd.DataFrame) -> pd.DataFrame:
@@ -169,7 +190,7 @@ def fold_crowded(blocked: DataFrame, pos: str, order: Sequence[str], same: Calla
     while True:
         ranked = stored(numbered(left), "crowded-ranks")
         head = ranked.where(F.col("__rank") <= step)
-        folded = stored(head.groupBy("block").applyInPandas(run, "pos long, leader long"), "crowded-heads")
+        folded = stored(_folded(head, pos, ["__at"], same), "crowded-heads")
         done = folded if done is None else done.unionByName(folded)
         rest = ranked.where(F.col("__rank") > step).withColumn("__chunk", F.floor((F.col("__rank") - 1) / step).cast("long")).drop("__rank")
         chunks = rest.select("block", "__chunk").distinct()

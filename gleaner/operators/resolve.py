@@ -11,14 +11,13 @@ from calendar import monthrange
 from datetime import date, timedelta
 from difflib import SequenceMatcher
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.urls import normalize_url
 from ..sources.shared import stored
-from .blocks import block_ids
+from .blocks import block_ids, in_blocks
 
 DAY_US = 86_400_000_000
 LIFECYCLE_MONTHS = 18
@@ -144,10 +143,10 @@ def _project(row: dict) -> dict:
     return own | {"span_end_us": None if row["us"] is None else months_after(row["us"], LIFECYCLE_MONTHS)}
 
 
-def _fold_block(part: pd.DataFrame) -> pd.DataFrame:
+def _fold_block(rows: list[dict]) -> list[tuple]:
     projects: list[dict] = []
     out = []
-    for e in map(_plain, part.sort_values("pos", kind="stable").to_dict("records")):
+    for e in map(_plain, rows):
         if e["known"]:
             projects.append(_project(e))
             continue
@@ -163,7 +162,7 @@ def _fold_block(part: pd.DataFrame) -> pd.DataFrame:
             own = _project(e)
             projects.append(own)
         out.append((e["pos"], own and own["id"], d["relation"], d["reason"], float(d["score"]), alone, bool(d["relation"] == "new_project" and len(projects) == 1)))
-    return pd.DataFrame(out, columns=["pos", "project", "relation", "reason", "score", "alone", "first"])
+    return out
 
 
 def _only_reason(folded: DataFrame, rows: DataFrame) -> tuple[int, str] | None:
@@ -200,7 +199,7 @@ def fold_projects(events: DataFrame, known: DataFrame | None = None) -> DataFram
     rows = stored(rows, "project-events")
     blocks = _project_blocks(rows)
     schema = "pos long, project string, relation string, reason string, score double, alone string, first boolean"
-    folded = stored(rows.join(blocks, "pos").groupBy("block").applyInPandas(_fold_block, schema), "project-matches")
+    folded = stored(in_blocks(rows.join(blocks, "pos"), ["pos"], _fold_block, schema), "project-matches")
     only = _only_reason(folded, rows)
     reason = F.col("reason") if only is None else F.when(F.col("pos") == only[0], F.lit(only[1])).otherwise(F.col("reason"))
     return folded.select("pos", "project", "relation", reason.alias("reason"), "score")
@@ -253,11 +252,11 @@ def fold_financings(rows: DataFrame, same_terms_days: int = 7, shared_source_day
     keys = F.concat(tagged("f", F.col("fingerprint")), tagged("t", F.col("terms")), F.when(F.coalesce(F.col("identity"), F.lit("")) != "", sources).otherwise(F.array().cast("array<string>")))
     rows = stored(rows.select("pos", "identity", "rounds", "kind", "day", "fingerprint", "terms", "urls"), "financing-reports")
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
+    def work(reports: list[dict]) -> list[tuple]:
         known: list[dict] = []
         prints, by_url, by_terms = {}, {}, {}
         out = []
-        for e in map(_plain, part.sort_values("pos", kind="stable").to_dict("records")):
+        for e in map(_plain, reports):
             mine, urls = frozenset(e["rounds"]), set(e["urls"])
 
             def near(f, days, e=e):
@@ -282,9 +281,9 @@ def fold_financings(rows: DataFrame, same_terms_days: int = 7, shared_source_day
             for u in urls:
                 by_url.setdefault(u, set()).add(found)
             out.append((e["pos"], known[found]["pos"]))
-        return pd.DataFrame(out, columns=["pos", "financing"])
+        return out
 
-    return rows.join(block_ids(rows, "pos", keys), "pos").groupBy("block").applyInPandas(run, "pos long, financing long")
+    return in_blocks(rows.join(block_ids(rows, "pos", keys), "pos"), ["pos"], work, "pos long, financing long")
 
 
 def overlap_anti(leads: DataFrame, verified: DataFrame, company: str, round_: str, when: str, days: int = 45) -> DataFrame:

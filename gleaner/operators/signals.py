@@ -6,7 +6,6 @@ financing are hidden, and what is left of one financing is merged, lead after le
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from ..functions import lexicon as lx
 from ..functions import text
 from ..sources.shared import stored
 from .aliases import found_names
-from .blocks import block_ids
+from .blocks import block_ids, in_blocks
 from .report import held_subjects, identity_text, same_signal
 
 DAYS, DAY_US, ZONE_US = 45, 86_400_000_000, 8 * 3_600_000_000
@@ -152,18 +151,18 @@ def merged(signals: DataFrame, financing: str = lx.FINANCING) -> DataFrame:
     blocks = block_ids(rows, "at", F.array().cast("array<string>"), held_subjects(rows, "at", "subject"))
     names = [x.split(" ")[0] for x in _SIGNAL.split(", ")]
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
+    def work(leads: list[dict]) -> list[tuple]:
         kept: list[dict] = []
-        for row in map(_known, part.sort_values(["branch", "pos"], kind="stable").to_dict("records")):
+        for row in map(_known, leads):
             at = next((i for i, s in enumerate(kept) if same_signal(_as_lead(s), _as_lead(row), DAYS)), None)
             if at is None:
                 kept.append(row)
             else:
                 kept[at] = combined(kept[at], row)
-        out = pd.DataFrame([[s[c] for c in names] for s in kept], columns=names)
-        return out.astype({"published_us": "Int64"})
+        return [tuple(s[c] for c in names) for s in kept]
 
-    found = rows.join(blocks, rows["at"] == blocks["pos"]).select("block", rows["pos"], *[c for c in rows.columns if c != "pos"]).groupBy("block").applyInPandas(run, _SIGNAL)
+    blocked = rows.join(blocks, rows["at"] == blocks["pos"]).select("block", rows["pos"], *[c for c in rows.columns if c != "pos"])
+    found = in_blocks(blocked, ["branch", "pos"], work, _SIGNAL)
     return signals.where(F.col("category") != financing).select(*names).unionByName(found)
 
 
