@@ -167,3 +167,21 @@ def test_shard_files_are_in_document_order(spark, tmp_path):
     assert order == sorted(d for d, _ in rows)
     places = [(r["range"], r["block"]) for rows in files for r in rows]
     assert places == sorted(places)
+
+
+def test_stitching_scans_a_text_a_few_times_only():
+    """Texts with and without boundaries: the characters scanned grow with the text, not with its square."""
+    pattern, scanned = regex.compile(P.PATTERN), []
+
+    class Counted:
+        def finditer(self, piece):
+            scanned.append(len(piece))
+            return pattern.finditer(piece)
+
+    for unit in ("7", " ", "word ", "7 ", "-", "日本 12! ", "x\n\n"):
+        for n in (1 << 16, 1 << 18):
+            text = (unit * n)[:n]
+            scanned.clear()
+            pieces_ = bpe.stitched(Counted(), text, 1024, 16)
+            assert "".join(pieces_) == text and sum(scanned) <= 6 * n
+            assert [m[0] for p in pieces_ for m in pattern.finditer(p)] == pattern.findall(text)
