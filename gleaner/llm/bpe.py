@@ -38,8 +38,10 @@ def boundaries(pattern, text: str, start: int, stop: int) -> list[int]:
 
 def stitched(pattern, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[str]:
     """Pieces of a text, cut at true pre-token boundaries about every `chunk` characters."""
-    cuts = [0] if text else []
-    while cuts and len(text) - cuts[-1] > chunk + overlap:
+    if not text:
+        return []
+    cuts = [0]
+    while len(text) - cuts[-1] > chunk + overlap:
         last, width = cuts[-1], overlap
         start = last + chunk
         while True:
