@@ -46,6 +46,44 @@ def ask(name: Column, title: Column, gaps: Column) -> Column:
     return F.array_distinct(F.concat(F.transform(gaps, lambda g: F.concat_ws(" ", name, F.coalesce(table[g], F.lit("公告")))), F.array(F.concat_ws(" ", name, title))))
 
 
+# How far a lead of each reason is from a proof; other reasons come last.
+_NEAR = ("financing_requires_official_or_two_independent_b_sources", "financing_requires_independent_sources", "financing_corroboration_insufficient")
+_ONE_PROOF = (
+    "classification_country_evidence_invalid", "classification_category_evidence_invalid", "classification_event_evidence_invalid", "classification_scope_evidence_invalid", "financing_source_event_evidence_missing",
+    "financing_source_organization_evidence_invalid", "financing_source_publication_date_evidence_invalid", "financing_source_round_evidence_invalid", "financing_source_subtype_evidence_invalid",
+    "financing_source_amount_evidence_invalid", "financing_source_investor_evidence_invalid", "financing_source_business_area_evidence_invalid", "financing_source_action_evidence_invalid",
+    "financing_missing_required_evidence", "missing_required_fields:published_at",
+)
+_UNCLASSED = ("classification_evidence_missing", "classification_evidence_invalid")
+_CONFLICTS = tuple(f"financing_corroboration_{x}" for x in ("conflict", "date_outside_window", "round_conflict", "amount_conflict", "attribute_conflict"))
+
+
+def distance(reason: Column) -> Column:
+    """How far a pending reason is from a proof, 0 to 5."""
+    out = F.lit(5)
+    for rank, reasons in ((4, _CONFLICTS), (3, ("classification_rule_disagreement",)), (2, _UNCLASSED), (1, _ONE_PROOF), (0, _NEAR)):
+        out = F.when(reason.isin(*reasons), rank).otherwise(out)
+    return out
+
+
+def priority(t: Mapping[str, Column]) -> list[Column]:
+    """Order in which leads are followed up, best first.
+
+    With an official site; only the date or at most one proof missing; fewer empty fields; nearer to a proof; grade B,
+    then A, then C; fewer attempts; the latest, unknown dates as those of 1970; then by URL.
+    t: official (count of sites), gaps (array), reason, organization, published_at, category, event_type, round, amount,
+    grade, attempts, url.
+    """
+    empty = lambda c: F.when(F.coalesce(c.cast("string"), F.lit("")) == "", 1).otherwise(0)
+    gap = F.when(F.coalesce(t["reason"] == "missing_required_fields:published_at", F.lit(False)), 0).when(F.coalesce(F.size(t["gaps"]), F.lit(0)) <= 1, 1).otherwise(2)
+    either = F.when(F.coalesce(t["round"], F.lit("")) == "", t["amount"]).otherwise(t["round"])
+    return [
+        F.when(F.coalesce(t["official"], F.lit(0)) > 0, 0).otherwise(1).asc(), gap.asc(), sum((empty(t[c]) for c in ("organization", "published_at", "category", "event_type")), empty(either)).asc(),
+        distance(t["reason"]).asc(), F.when(t["grade"] == "B", 0).when(t["grade"] == "A", 1).otherwise(2).asc(), F.coalesce(t["attempts"], F.lit(0)).asc(),
+        F.coalesce(t["published_at"], F.timestamp_seconds(F.lit(0)).cast("timestamp_ntz")).desc(), t["url"].asc(),
+    ]
+
+
 def may_deliver(runs: DataFrame, day: Column, titles: Sequence[str]) -> DataFrame:
     """One row: is there no finished or running live delivery of that day yet.  runs: title, status, started_at."""
     live = runs.where(F.col("title").isin(*titles) & (F.to_date("started_at") == F.to_date(day)) & F.col("status").isin("success", "in_progress", "queued"))

@@ -141,6 +141,13 @@ def rolling(projects: DataFrame, events: DataFrame, start: Column, end: Column)
     return rows.where(F.col("latest_at").between(start, end)).select("project_id", "latest_at", completed.alias("completed"))
 
 
+def pending_order(published: Column, now: Column, item_id: Column) -> list[Column]:
+    """Order of the pending pool: the last week, the last month, unknown dates, then all else; latest first, then by id."""
+    label = clock.age_label(published, now)
+    bucket = F.when(published.isNull(), 2).when(label == "last 7 days", 0).when(label == "8-30 days", 1).otherwise(3)
+    return [bucket.asc(), F.coalesce(F.unix_micros(published.cast("timestamp")), F.lit(0)).desc(), item_id.asc()]
+
+
 def by_deadline(deadlines: Column) -> list[Column]:
     """Order of open projects: the next supported deadline first, projects without one last, then by id."""
     return [F.array_min(F.map_values(deadlines)).asc_nulls_last(), F.col("project_id").asc()]

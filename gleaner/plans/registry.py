@@ -399,10 +399,7 @@ def procurement_groups(spark, sf):
 @query("SELECT conv_id, turn, count(*) FILTER (fresh) AS n_new FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, w ORDER BY turn) = 1 AS fresh FROM (SELECT DISTINCT conv_id, turn, w FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w FROM conversations))) GROUP BY 1, 2")
 def search_trace_no_new(spark, sf):
     hits = table(spark, sf, "conversations").select("conv_id", "turn", F.explode(F.split("text", " ")).alias("w"))
-    first = hits.groupBy("conv_id", "w").agg(F.min("turn").alias("first"))
-    seen = hits.select("conv_id", "turn").distinct().withColumn("zero", F.lit(0))
-    new = first.groupBy("conv_id", F.col("first").alias("turn")).agg(F.count("*").alias("n"))
-    return seen.join(new, ["conv_id", "turn"], "left").select("conv_id", "turn", F.coalesce("n", F.lit(0)).cast("long").alias("n_new"))
+    return followup.no_new(hits, "conv_id", "turn", "w")
 
 
 @query("SELECT o_orderkey, place FROM (SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderpriority, o_orderdate DESC, o_totalprice DESC, o_custkey, o_orderkey) AS place FROM orders) WHERE place <= 100")
@@ -412,6 +409,67 @@ def followup_rank(spark, sf):
     return top.select("o_orderkey", F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))
 
 
+def numbered(df: DataFrame, key: str, order: list[Column], most: int) -> DataFrame:
+    """(key, place) of the first rows in an order: a top-k report."""
+    top = df.orderBy(*order).limit(most)
+    return top.select(key, F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))
+
+
+@query(f"""SELECT page_id, place FROM (SELECT p.page_id, row_number() OVER (ORDER BY CASE WHEN starts_with(source, 'src1') THEN 0 WHEN host = 'example.org' OR ends_with(host, '.example.org') THEN 1 ELSE 2 END, pub DESC NULLS LAST, score DESC, url) AS place
+ FROM (SELECT page_id, url || '#' || page_id AS url, {_HOST_SQL} AS host, CASE WHEN page_id % 9 <> 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(page_id % 30 AS INTEGER)) END AS pub, page_id % 4 AS score FROM pages) p JOIN documents d ON d.doc_id = p.page_id) WHERE place <= 80""")
+def candidate_rank(spark, sf):
+    """Pages as candidates: those of one source are official, those below one domain preferred."""
+    pages = table(spark, sf, "pages").select("page_id", F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("url"), (F.col("page_id") % 4).alias("score"), F.when(F.col("page_id") % 9 != 0, F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_dt_interval((F.col("page_id") % 30).cast("int"))).alias("published_at"))
+    sources = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), F.when(F.col("source").startswith("src1"), "official:x").otherwise("search").alias("discovery_source"))
+    return numbered(pages.join(sources, "page_id"), "page_id", select.rank_order(["example.org"]), 80)
+
+
+_REASON_OF = {"1-URGENT": "financing_requires_independent_sources", "2-HIGH": "missing_required_fields:published_at", "3-MEDIUM": "classification_evidence_invalid", "4-NOT SPECIFIED": "financing_corroboration_conflict", "5-LOW": "unknown"}
+
+
+@query("""SELECT o_orderkey, place FROM (SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE 1 END, CASE WHEN o_orderpriority = '2-HIGH' THEN 0 WHEN o_orderkey % 3 <= 1 THEN 1 ELSE 2 END,
+ (o_custkey % 5 = 0)::INT + (o_orderkey % 7 = 0)::INT + (o_custkey % 2 = 0 AND o_orderstatus <> 'F')::INT, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '4-NOT SPECIFIED' THEN 4 ELSE 5 END,
+ CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END, o_orderkey % 4, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate ELSE TIMESTAMP '1970-01-01 00:00:00' END DESC, 'u' || o_orderkey) AS place FROM orders) WHERE place <= 200""")
+def followup_priority(spark, sf):
+    """Orders as leads, in the order in which they are followed up."""
+    k, c, none = F.col("o_orderkey"), F.col("o_custkey"), F.lit(None).cast("string")
+    lead = {
+        "official": F.when(c % 3 == 0, 2).otherwise(0), "gaps": F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (k % 3).cast("int")), "reason": lx.mapped(F.col("o_orderpriority"), _REASON_OF, F.lit("unknown")), "organization": F.when(c % 5 != 0, "x").otherwise(F.lit("")),
+        "published_at": F.when(k % 7 != 0, F.col("o_orderdate").cast("timestamp_ntz")), "category": F.lit("c"), "event_type": F.lit("e"), "round": F.when(c % 2 == 1, "A"), "amount": F.when(F.col("o_orderstatus") == "F", "1").otherwise(none),
+        "grade": lx.mapped(F.col("o_orderstatus"), {"O": "B", "F": "A"}, F.lit("C")), "attempts": k % 4, "url": F.concat(F.lit("u"), k.cast("string")),
+    }
+    return numbered(table(spark, sf, "orders"), "o_orderkey", followup.priority(lead), 200)
+
+
+@query("""SELECT event_id, place FROM (SELECT event_id, row_number() OVER (ORDER BY CASE WHEN pub IS NULL THEN 2 WHEN d < 0 THEN 3 WHEN d <= 7 THEN 0 WHEN d <= 30 THEN 1 ELSE 3 END, pub DESC NULLS LAST, 'i' || event_id) AS place
+ FROM (SELECT event_id, pub, CAST(floor(date_diff('microsecond', pub, TIMESTAMP '2024-01-31 00:00:00') / 86400000000.0) AS BIGINT) AS d FROM (SELECT event_id, CASE WHEN event_id % 6 <> 0 THEN ts - INTERVAL 9 DAY END AS pub FROM events))) WHERE place <= 300""")
+def pending_rank(spark, sf):
+    """Events as the pending pool, in the order in which it is shown."""
+    at = F.when(F.col("event_id") % 6 != 0, F.col("ts") - F.make_dt_interval(F.lit(9)))
+    return numbered(table(spark, sf, "events"), "event_id", report.pending_order(at, now(), F.concat(F.lit("i"), F.col("event_id").cast("string"))), 300)
+
+
+@query(f"""WITH a AS (SELECT o_orderkey AS k, o_custkey % 11 <> 0 AS scope, concat_ws(',', CASE WHEN o_orderkey % 17 = 0 THEN 'title' END, CASE WHEN o_custkey % 29 = 0 THEN 'organization' END) AS gaps, o_orderstatus = 'F' AS fin, o_orderstatus = 'F' AND o_orderkey % 19 <> 0 AS fin_event,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'A' WHEN '2-HIGH' THEN 'A' WHEN '3-MEDIUM' THEN 'B' WHEN '5-LOW' THEN 'B' ELSE 'C' END AS grade, o_custkey FROM orders),
+ r AS (SELECT k, CASE WHEN NOT scope THEN 'out_of_scope' WHEN gaps <> '' THEN 'missing_required_fields:' || gaps WHEN k % 13 = 0 THEN 'source_url_mismatch' WHEN k % 5 = 0 THEN 'evidence_not_grounded' WHEN fin <> fin_event THEN 'category_event_type_mismatch' WHEN o_custkey % 9 = 0 THEN 'source_unavailable'
+  WHEN NOT fin AND grade <> 'A' THEN 'tender_requires_grade_a' WHEN NOT fin AND k % 3 = 0 THEN 'class' WHEN NOT fin AND k % 4 = 0 THEN 'deadline' WHEN NOT fin AND k % 7 = 0 THEN 'tender_missing_required_evidence' WHEN NOT fin AND k % 11 = 0 THEN 'evidence_not_grounded' WHEN NOT fin THEN 'verified_tender'
+  WHEN grade IN ('A', 'B') AND k % 3 = 0 THEN 'class' WHEN grade IN ('A', 'B') AND k % 7 = 0 THEN 'money' WHEN grade = 'A' THEN 'verified_financing_official_source' WHEN grade = 'B' AND k % 2 = 0 THEN 'verified_financing_two_independent_sources' WHEN grade = 'B' AND k % 11 = 0 THEN 'conflict'
+  ELSE 'financing_requires_official_or_two_independent_b_sources' END AS reason FROM a)
+ SELECT k AS o_orderkey, CASE WHEN reason = 'out_of_scope' THEN 'rejected' WHEN starts_with(reason, 'verified') THEN 'verified' ELSE 'pending' END AS status, reason FROM r""")
+def verification_decisions(spark, sf):
+    """Orders as analyses of which each rule of the cascade stops some."""
+    k, c, fin = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus") == "F"
+    when = lambda cond, v: F.when(cond, F.lit(v))
+    a = {
+        "in_china": c % 11 != 0, "in_scope": F.lit(True), "title": when(k % 17 != 0, "t"), "organization": F.when(c % 29 == 0, F.lit(" ")).otherwise(F.lit("o")), "published_at": F.col("o_orderdate"), "category": F.when(fin, lx.FINANCING).otherwise("eo_turret"),
+        "event_type": F.when(fin & (k % 19 != 0), "financing").otherwise("tender"), "url_matches": k % 13 != 0, "grounded": k % 5 != 0, "http_status": F.when(c % 9 == 0, 404).otherwise(200),
+        "grade": lx.mapped(F.col("o_orderpriority"), {"1-URGENT": "A", "2-HIGH": "A", "3-MEDIUM": "B", "5-LOW": "B"}, F.lit("C")), "class_failure": when(k % 3 == 0, "class"), "deadline_failure": when(k % 4 == 0, "deadline"), "tender_evidence": k % 7 != 0, "tender_claims": k % 11 != 0,
+        "financing_failure": when(k % 7 == 0, "money"), "corroborated": k % 2 == 0, "corroboration_reason": when(k % 11 == 0, "conflict"),
+    }
+    status, reason = verify.decision(a)
+    return table(spark, sf, "orders").select("o_orderkey", status.alias("status"), reason.alias("reason"))
+
+
 @query()
 def html_date_evidence(spark, sf):
     from ..sources import html
