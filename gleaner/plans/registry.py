@@ -339,6 +339,28 @@ def pending_upsert(spark, sf):
     return state.resolve_pending(state.upsert_pending(old, new, now()), done).select("url", "reason", "attempts", "first_seen")
 
 
+@query("SELECT user_id || '/' || event_type AS fingerprint, min(ts) AS published_at, arg_min(event_id, struct_pack(a := ts, b := event_id)) AS event_id, arg_max(value, struct_pack(a := ts, b := event_id)) AS last_value FROM events GROUP BY 1")
+def bucketed_state(spark, sf):
+    """Three parts of the month, one after another, merged into a state in buckets; read back from its last version."""
+    import uuid
+
+    from ..sources import buckets, shared
+
+    root = f"{shared.shared_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}"
+    e = table(spark, sf, "events").select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("fingerprint"), F.col("ts").alias("published_at"), "event_id", F.col("value").alias("last_value"), F.col("ts").alias("last_at"), F.col("event_id").alias("last_id"))
+
+    def merge(old, new):
+        first, last = F.struct("published_at", "event_id"), F.struct("last_at", "last_id", "last_value")
+        rows = old.unionByName(new).groupBy("fingerprint").agg(F.min(first).alias("f"), F.max(last).alias("l"))
+        return rows.select("fingerprint", "f.published_at", "f.event_id", "l.last_value", "l.last_at", "l.last_id")
+
+    middle, late = (F.expr(f"TIMESTAMP_NTZ '2024-01-{d} 00:00:00'") for d in (12, 22))
+    at = F.col("published_at")
+    for part in (e.where(at >= late), e.where(at < middle), e.where((at >= middle) & (at < late))):
+        version = buckets.merge_into(spark, root, "events", part, ["fingerprint"], merge, 16)
+    return buckets.load(spark, root, version, "events", e.schema).select("fingerprint", "published_at", "event_id", "last_value")
+
+
 @query("SELECT event_id FROM events WHERE event_type = 'purchase' OR ts BETWEEN TIMESTAMP '2024-01-29 00:00:00' AND TIMESTAMP '2024-01-30 00:00:00'")
 def changed_in_window(spark, sf):
     e = table(spark, sf, "events")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources import state
+from ..sources import buckets, state
 
 
 def keep_events(events: DataFrame, root: str, checkpoint: str, schema: str) -> StreamingQuery:
@@ -21,3 +21,12 @@ def keep_events(events: DataFrame, root: str, checkpoint: str, schema: str) -> S
         state.commit(spark, root, {"events": state.append_events(old, batch.select(*old.columns))})
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def keep_bucketed(events: DataFrame, root: str, checkpoint: str, table: str = "events", n: int = buckets.BUCKETS) -> StreamingQuery:
+    """keep_events() on a state in buckets by fingerprint: a batch rewrites only the buckets of its own events."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        buckets.merge_into(batch.sparkSession, root, table, batch, ["fingerprint"], state.append_events, n)
+
+    return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
