@@ -499,6 +499,22 @@ def html_date_evidence(spark, sf):
     return html.page_rows(table(spark, sf, "pages"), "page_id", "html")
 
 
+_LIST_SELECTORS = ("nav ul > li a[href]", 'body > nav a[href^="/t"], nav a[href^="/d"]', "div.ad a", "a[")
+
+
+@query(r"""WITH p AS (SELECT page_id, page_id % 4 AS k, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) AS base, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS hrefs, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS names FROM pages),
+ l AS (SELECT page_id, k, base, unnest(hrefs) AS href, unnest(names) AS name, unnest(range(len(hrefs))) AS n FROM p WHERE k < 2), c AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS pos FROM l WHERE k = 0 OR starts_with(href, '/t') OR starts_with(href, '/d'))
+ SELECT page_id, CAST(pos AS INTEGER) AS pos, base || href AS url, name AS title, NULL AS failure FROM c
+ UNION ALL SELECT page_id, NULL, NULL, NULL, CASE WHEN k = 3 THEN 'bad_selector' ELSE 'no_links' END FROM p WHERE k >= 2 OR page_id NOT IN (SELECT page_id FROM c)""")
+def list_links(spark, sf):
+    """Links of the pages' navigation by four selectors, of which one finds nothing and one is none."""
+    from ..sources import listing
+
+    selector = F.element_at(F.array(*[F.lit(s) for s in _LIST_SELECTORS]), (F.col("page_id") % 4).cast("int") + 1)
+    pages = table(spark, sf, "pages").select("page_id", urls.host(F.col("url")).alias("domain"), F.col("url").alias("list_url"), selector.alias("link_selector"), F.lit(200).alias("status"), "html")
+    return listing.collected(pages, "page_id").select("page_id", "pos", "url", "title", "failure")
+
+
 @query(f"""WITH x AS (SELECT CASE {_STAGE_SQL} WHEN 'award' THEN 0 WHEN 'tender' THEN 1 ELSE 2 END AS section, event_id AS pos, {_STAGE_SQL} || ' ' || user_id AS line FROM events)
  SELECT section, pos, line FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY section, pos) AS n FROM x) WHERE n = 1""")
 def report_sections(spark, sf):
