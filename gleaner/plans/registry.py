@@ -361,6 +361,21 @@ def bucketed_state(spark, sf):
     return buckets.load(spark, root, version, "events", e.schema).select("fingerprint", "published_at", "event_id", "last_value")
 
 
+@query("SELECT user_id, count(*) AS n, max(ts) AS last_at, sum(event_id) AS ids, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1")
+def state_lines(spark, sf):
+    """Events written as JSON lines and read back by the state's data source, with a schema that it enforces."""
+    import uuid
+
+    from ..sources import reader, shared
+    from ..sources import state as files
+
+    path = f"{shared.shared_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    files.write_lines(table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts"), path, "event_id")
+    reader.register(spark)
+    rows = spark.read.format(reader.NAME).schema("event_id long, user_id long, event_type string, ts timestamp_ntz").load(path)
+    return rows.groupBy("user_id").agg(F.count("*").alias("n"), F.max("ts").alias("last_at"), F.sum("event_id").alias("ids"), F.count_if(F.col("event_type") == "error").alias("errors"))
+
+
 @query("SELECT event_id FROM events WHERE event_type = 'purchase' OR ts BETWEEN TIMESTAMP '2024-01-29 00:00:00' AND TIMESTAMP '2024-01-30 00:00:00'")
 def changed_in_window(spark, sf):
     e = table(spark, sf, "events")
