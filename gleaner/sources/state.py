@@ -33,8 +33,9 @@ def unknown_fields(spark: SparkSession, path: str, known: T.StructType) -> list[
 
 
 def write_lines(df: DataFrame, path: str, *order: str) -> None:
-    """JSON lines in a stated order, range-partitioned, so the files in name order are the whole order."""
-    (df.orderBy(*order) if order else df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """JSON lines in a stated order, range-partitioned, so the files in name order are the whole order; times keep microseconds."""
+    times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    (df.orderBy(*order) if order else df).write.mode("overwrite").options(ignoreNullFields=False, **times).json(path)
 
 
 def _pointer(spark: SparkSession, root: str) -> tuple[int, str] | None:
