@@ -119,16 +119,6 @@ def test_order_minhash(spark, tmp_path):
     assert len(rows) == len(texts)
 
 
-def plain_sketch(words, hashed):
-    """Occurrence-numbered 3-mers, two smallest per bin in text order, hashed: given the native hash function."""
-    seen, marked = Counter(), []
-    for i in range(len(words)):
-        k = tuple(words[i : i + 3])
-        marked.append((k, seen[k], i))
-        seen[k] += 1
-    return marked, hashed
-
-
 def test_order_matters(spark):
     rng = random.Random(5)
     a = [rng.choice(VOCAB) for _ in range(400)]
