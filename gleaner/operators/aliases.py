@@ -68,9 +68,10 @@ class Names:
         return found
 
 
-def pieces(registry: DataFrame, most: int = PIECE_BYTES, bare: Callable[[Column], Column] = bare_name) -> Iterator[list[tuple]]:
+def pieces(registry: DataFrame, most: int = PIECE_BYTES, bare: Callable[[Column], Column] | None = bare_name) -> Iterator[list[tuple]]:
     """The registry's rows in pieces of about `most` bytes; its size is known before any row leaves the executors."""
-    rows = registry.select(bare(F.trim("alias")).alias("bare"), "kind", F.col("place").cast("int").alias("place"), "domain", F.trim("alias").alias("alias")).where("bare <> '' and domain is not null").distinct()
+    alias = F.col("alias") if bare is None else F.trim("alias")
+    rows = registry.select((alias if bare is None else bare(alias)).alias("bare"), "kind", F.col("place").cast("int").alias("place"), "domain", alias.alias("alias")).where("bare <> '' and domain is not null").distinct()
     rows = stored(rows, "registry")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("bare") + F.octet_length("alias") + F.octet_length("domain")), F.lit(0))).first()[0]
     n = max(1, -(-size // most))
@@ -78,14 +79,14 @@ def pieces(registry: DataFrame, most: int = PIECE_BYTES, bare: Callable[[Column]
         yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("bare", "domain"), F.lit(n)) == k).toLocalIterator()]
 
 
-def found_names(probes: DataFrame, registry: DataFrame, most: int = PIECE_BYTES, bare: Callable[[Column], Column] = bare_name) -> DataFrame:
+def found_names(probes: DataFrame, registry: DataFrame, most: int = PIECE_BYTES, bare: Callable[[Column], Column] | None = bare_name) -> DataFrame:
     """(probe, stage, sub, kind, place, domain, alias): the best alias of each domain that a probe names.
 
     probes: probe (an id), stage and sub (carried along), said (bare), as_name, and kinds, the kind that is asked, null
     for both.  In a text an alias counts where it stands in it; a name counts also where it stands in the alias.
-    bare gives the normal form of aliases, in which `said` is already.
+    bare gives the normal form of aliases, in which `said` is already; without one, aliases are taken as they stand.
     """
-    asked = stored(probes.where("said <> ''"), "probes")
+    asked = probes.where("said <> ''")
     hits: DataFrame | None = None
     for rows in pieces(registry, most, bare):
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock, urls
+from .aliases import found_names
 
 
 def graded(df: DataFrame, url: str, registry: DataFrame, default: str = "C") -> DataFrame:
@@ -32,19 +33,16 @@ def grounded(quote: Column, body: Column, title: Column | None = None) -> Column
 
 
 def groundings(docs: DataFrame, quotes: DataFrame, doc_id: str, body: str, quote_id: str, quote: str) -> DataFrame:
-    """(doc_id, quote_id) of the documents in which a quote stands.
+    """(doc_id, quote_id) of the documents in which a quote that is not blank stands, whatever the quote is made of.
 
-    A whole word of the quote finds the candidates by an equality join.  The words at its edges may be parts of longer
-    words of a document, so only a word with other characters on both sides serves; the longest is the rarest.  Quotes
-    without such a word are held against every document.
+    The quotes are the names of an automaton (see aliases), which passes once over each document; no document is held
+    against the quotes one by one, and no join carries texts.  Ids are numbers; rows of one id count once.
     """
-    words = F.regexp_extract_all(F.col(quote), F.lit(r"(?<=[^\p{L}])\p{L}+(?=[^\p{L}])"), F.lit(0))
-    probed = quotes.withColumn("__probe", F.array_max(F.transform(words, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"])
-    known = probed.where("__probe is not null")
-    each = docs.select(doc_id, F.explode(F.array_distinct(F.split(body, r"[^\p{L}]+"))).alias("__probe"))
-    found = each.join(known.select("__probe").distinct(), "__probe").join(known, "__probe").join(docs, doc_id)
-    plain = docs.join(F.broadcast(probed.where("__probe is null")), grounded(F.col(quote), F.col(body)))  # as few as quotes are
-    return found.where(grounded(F.col(quote), F.col(body))).select(doc_id, quote_id).unionByName(plain.select(doc_id, quote_id))
+    named = quotes.where(F.col(quote).rlike(r"(?U)\S")).select(F.lit("").alias("kind"), F.lit(0).alias("place"), F.col(quote_id).cast("string").alias("domain"), F.col(quote).alias("alias"))
+    probes = docs.where(F.col(body).isNotNull()).select(F.col(doc_id).cast("long").alias("probe"), F.lit(0).alias("stage"), F.lit(0).alias("sub"), F.col(body).alias("said"), F.lit(False).alias("as_name"), F.lit(None).cast("string").alias("kinds"))
+    kind = {f.name: f.dataType for f in (docs.schema[doc_id], quotes.schema[quote_id])}
+    found = found_names(probes, named, bare=None)
+    return found.select(F.col("probe").cast(kind[doc_id]).alias(doc_id), F.col("domain").cast(kind[quote_id]).alias(quote_id))
 
 
 def cascade(rules: Sequence[tuple[Column, str, str]], status: str = "verified", reason: str = "verified") -> tuple[Column, Column]:
