@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, extract, ids, text, urls
 from ..functions import lexicon as lx
-from ..operators import aliases, claims, enrich, followup, report, resolve, select, signals, state, verify
+from ..operators import aliases, claims, enrich, followup, items, report, resolve, select, signals, state, verify
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -662,6 +662,27 @@ def registry_names(spark, sf):
     return aliases.named_in(table(spark, sf, "documents"), registry, "doc_id", "text").select("doc_id", "domain", "alias")
 
 
+@query("""WITH RECURSIVE f AS (SELECT o_orderkey AS id, o_custkey AS company, o_orderpriority AS pr, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) % 120 AS INTEGER) AS day, ['s/' || o_orderkey % 5, 't/' || o_custkey % 2 || CAST(o_orderkey % 3 AS VARCHAR)] AS urls, o_orderkey % 6 = 0 AS changed FROM orders WHERE o_orderstatus <> 'P'),
+ v AS (SELECT *, CASE pr WHEN '1-URGENT' THEN ['a'] WHEN '2-HIGH' THEN ['a', 'b'] WHEN '3-MEDIUM' THEN ['b'] WHEN '5-LOW' THEN ['prea'] ELSE [] END AS rounds, row_number() OVER (PARTITION BY company ORDER BY changed DESC, day DESC, lpad(CAST(id AS VARCHAR), 9, '0')) AS k FROM f WHERE day >= 20),
+ s AS (SELECT company, k, id, TRUE AS kept, [{'day': day, 'rounds': rounds, 'urls': urls}] AS ls FROM v WHERE k = 1
+  UNION ALL SELECT company, k, id, NOT same, CASE WHEN same THEN ls ELSE list_append(ls, {'day': day, 'rounds': rounds, 'urls': urls}) END
+  FROM (SELECT v.*, s.ls, len(list_filter(s.ls, lambda l: list_has_any(l.urls, v.urls) AND abs(l.day - v.day) <= 45 AND len(l.rounds) > 0 AND len(v.rounds) > 0 AND (list_has_all(l.rounds, v.rounds) OR list_has_all(v.rounds, l.rounds)))) > 0 AS same FROM s JOIN v ON v.company = s.company AND v.k = s.k + 1))
+ SELECT s.id AS o_orderkey, CASE WHEN day >= 110 THEN 'daily' WHEN changed THEN 'historical' ELSE 'rolling' END AS label, '- **【' || CASE WHEN day >= 110 THEN '已核实·今日新增' WHEN changed THEN '已核实·历史补录' ELSE '已核实·滚动池' END || '】客户' || s.company || '完成' ||
+  CASE pr WHEN '1-URGENT' THEN 'A轮' WHEN '2-HIGH' THEN 'A轮、B轮' WHEN '3-MEDIUM' THEN 'B轮' WHEN '5-LOW' THEN 'Pre-A轮' ELSE '战略融资' END || '**' AS headline, '  - 来源：[来源1](' || least(urls[1], urls[2]) || ')｜[来源2](' || greatest(urls[1], urls[2]) || ')' AS links FROM s JOIN v ON v.id = s.id WHERE kept""")
+def financing_items(spark, sf):
+    """Orders as verified financings of a rolling window, one item for each event that is shown, with its lines."""
+    k, pr, day = F.col("o_orderkey"), F.col("o_orderpriority"), F.pmod(day_of("o_orderdate"), F.lit(120))
+    at = lambda n: F.date_from_unix_date(F.lit(n)).cast("timestamp_ntz")
+    rows = table(spark, sf, "orders").where("o_orderstatus <> 'P'").select(
+        F.lpad(k.cast("string"), 9, "0").alias("financing_id"), F.lit("verified").alias("status"), F.concat(F.lit("客户"), F.col("o_custkey").cast("string")).alias("company"), lx.mapped(pr, _ROUND_OF, F.lit(None).cast("string")).alias("round_name"),
+        F.when(pr == "4-NOT SPECIFIED", F.lit("strategic")).alias("subtype"), F.date_from_unix_date(day.cast("int")).cast("timestamp_ntz").alias("announced_at"), F.create_map().cast("map<string,timestamp_ntz>").alias("source_dates"),
+        F.concat(F.lit("s/"), (k % 5).cast("string")).alias("source_url"), F.array(F.concat(F.lit("t/"), (F.col("o_custkey") % 2).cast("string"), (k % 3).cast("string"))).alias("source_urls"), F.lit(None).cast("double").alias("amount_cny"), F.lit(False).alias("amount_disclosed"),
+        F.array().cast("array<string>").alias("investors"), *[F.lit(None).cast("string").alias(c) for c in ("business_area", "brief_summary")], F.array().cast(_EV).alias("evidence"),
+    )
+    found = items.financing_lines(items.shown(rows, rows.where(F.col("financing_id").cast("long") % 6 == 0), at(20), at(119)), at(110), at(119))
+    return found.select(F.col("financing_id").cast("long").alias("o_orderkey"), "label", F.element_at("lines", 1).alias("headline"), F.element_at("lines", -1).alias("links"))
+
+
 _SIGNAL_SQL = f"""WITH o AS (SELECT o_orderkey AS pos, '客户' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS name, o_orderstatus AS st, o_orderpriority AS pr, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) % 365 AS INTEGER) AS day, 'http://d/' || o_orderkey % 2900 AS url,
   CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN 'eo_turret' ELSE '{lx.FINANCING}' END AS category, CASE o_orderpriority WHEN '1-URGENT' THEN 'A轮' WHEN '2-HIGH' THEN 'B轮' END AS round FROM orders),
  x AS (SELECT *, name || CASE WHEN pr = '3-MEDIUM' THEN ' Pre-A轮融资' ELSE ' 融资' || pos END AS title FROM o),
