@@ -6,8 +6,10 @@ for its rule, that is none occurs MIN_COUNT times, or no 16-bit symbol is left.
 shard stores its rules, the expansion length of every nonterminal, the symbol sequence and where each document starts in symbols and in ids, so any document decodes on its own.
 
 File format: a Parquet table of one row per shard (range, block, start, doc_ids, n_ids, payload).  `start` counts the ids
-of the range's earlier shards.  `payload` is a zstd frame of little-endian arrays behind a header of seven unsigned
-64-bit numbers: MAGIC, base, rules, symbols, documents, symbol width in bytes (2 or 4), ids.
+of the range's earlier shards.  `payload` has a header of nine unsigned 64-bit numbers (MAGIC, base, rules, symbols,
+documents, symbol width in bytes (2 or 4), ids, symbols a frame, bytes of the index), the bytes of each frame as unsigned
+32-bit numbers, the index (rules, expansion lengths, each document's first symbol and first id) as one zstd frame, and
+the symbols in zstd frames of their own: a document is decoded from the index and the frames that hold it.
 
 Defined results.  A null or empty text has only its end id.  Null doc_ids come first; rows of one doc_id are ordered by
 their text, repeated rows keep one row each.  An empty table gives no shard and no rows.  Extra columns are not read.
@@ -32,7 +34,9 @@ from .pieces import ENCODE_BYTES, cut_before_spaces, encoder
 VOCABULARY, END_ID, BASE = "byte_bpe_50k.json", 2, 50_257
 SHARD_IDS = 1 << 19
 MIN_COUNT, RULES_A_ROUND, HASH_BITS = 8, 4_000, 20
-MAGIC = 0x31525041_52454C47
+MAGIC, HEAD_NUMBERS = 0x32525041_52454C47, 9
+#: Symbols of one compressed frame: what is inflated to decode a short document.
+FRAME_SYMBOLS = 1 << 14
 
 
 # --------------------------------------------------------------------- the grammar
@@ -132,52 +136,73 @@ def expansions(rules: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.nd
     return flat, offsets
 
 
-def write_shard(ids: np.ndarray, doc_starts: np.ndarray, base: int = BASE) -> bytes:
+def write_shard(ids: np.ndarray, doc_starts: np.ndarray, base: int = BASE, frame: int = FRAME_SYMBOLS) -> bytes:
     symbols, rules, lengths, at = compress(ids, doc_starts, base)
     width = 2 if base + len(rules) <= 1 << 16 else 4
-    kind = f"<u{width}"
-    head = np.array([MAGIC, base, len(rules), len(symbols), len(at), width, len(ids)], "<u8")
-    body = [head, rules.astype("<u4"), lengths.astype("<u4"), symbols.astype(kind), at.astype("<u4"), doc_starts.astype("<u4")]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in body))
+    pack = zstandard.ZstdCompressor(level=1).compress
+    index = pack(b"".join(x.astype("<u4").tobytes() for x in (rules, lengths, at, doc_starts)))
+    body = [pack(symbols[i : i + frame].astype(f"<u{width}").tobytes()) for i in range(0, len(symbols), frame)]
+    head = np.array([MAGIC, base, len(rules), len(symbols), len(at), width, len(ids), frame, len(index)], "<u8")
+    return b"".join([head.tobytes(), np.array([len(x) for x in body], "<u4").tobytes(), index, *body])
 
 
 class Shard:
-    """A shard read back; documents() or ids(i) decode any of its documents without the others."""
+    """A shard read back.  ids(i) decodes one document from its own frames and rules; documents() decodes all."""
 
     def __init__(self, payload: bytes):
-        data = zstandard.ZstdDecompressor().decompress(payload)
-        magic, self.base, n_rules, n_symbols, n_docs, width, self.n_ids = np.frombuffer(data, "<u8", 7).tolist()
-        if magic != MAGIC:
+        head = np.frombuffer(payload, "<u8", min(HEAD_NUMBERS, len(payload) // 8)).tolist()
+        if len(head) < HEAD_NUMBERS or head[0] != MAGIC:
             raise ValueError("not a token shard")
-        at = 56
-
-        def take(kind, n):
-            nonlocal at
-            out = np.frombuffer(data, kind, n, at)
-            at += out.nbytes
-            return out
-
-        self.rules = take("<u4", 2 * n_rules).reshape(-1, 2)
-        self.lengths = take("<u4", n_rules).astype(np.int64)
-        self.symbols = take(f"<u{width}", n_symbols)
-        self.symbol_at = take("<u4", n_docs).astype(np.int64)
-        self.id_at = take("<u4", n_docs).astype(np.int64)
-        self.flat, self.offsets = expansions(self.rules, self.lengths, self.base)
+        _, self.base, n_rules, self.n_symbols, n_docs, self.width, self.n_ids, self.frame, n_index = head
+        frames = -(-self.n_symbols // self.frame)
+        sizes = np.frombuffer(payload, "<u4", frames, 8 * HEAD_NUMBERS).astype(np.int64)
+        start = 8 * HEAD_NUMBERS + 4 * frames
+        self._payload, self._inflate = payload, zstandard.ZstdDecompressor().decompress
+        self._frame_at = start + n_index + np.concatenate([[0], np.cumsum(sizes)])
+        index = np.frombuffer(self._inflate(payload[start : start + n_index]), "<u4")
+        self.rules, self.lengths, self.symbol_at, self.id_at = np.split(index, np.cumsum([2 * n_rules, n_rules, n_docs]))
+        self.rules, self.lengths = self.rules.reshape(-1, 2), self.lengths.astype(np.int64)
+        self.symbol_at, self.id_at = self.symbol_at.astype(np.int64), self.id_at.astype(np.int64)
 
     def __len__(self) -> int:
         return len(self.id_at)
 
+    def symbols(self, start: int = 0, stop: int | None = None) -> np.ndarray:
+        """Symbols of a range; only the frames that hold it are inflated."""
+        stop = self.n_symbols if stop is None else stop
+        if start >= stop:
+            return np.zeros(0, f"<u{self.width}")
+        first, last = start // self.frame, (stop - 1) // self.frame
+        data = b"".join(self._inflate(self._payload[self._frame_at[k] : self._frame_at[k + 1]]) for k in range(first, last + 1))
+        return np.frombuffer(data, f"<u{self.width}")[start - first * self.frame : stop - first * self.frame]
+
+    def expand_few(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids of some symbols, by replacing nonterminals until none is left; only the rules in use are touched."""
+        out = symbols.astype(np.uint32)
+        while True:
+            rule = out >= self.base
+            if not rule.any():
+                return out
+            n = 1 + rule.astype(np.int64)
+            at = np.cumsum(n) - n
+            longer = np.repeat(out, n)
+            pairs = self.rules[out[rule].astype(np.int64) - self.base]
+            longer[at[rule]], longer[at[rule] + 1] = pairs[:, 0], pairs[:, 1]
+            out = longer
+
     def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids of many symbols, by the expansions of all rules."""
+        flat, offsets = expansions(self.rules, self.lengths, self.base)
         symbols = symbols.astype(np.int64)
         rule = symbols - self.base
         is_rule = rule >= 0
-        source = np.concatenate([self.flat, np.zeros(1, np.uint32)])
+        source = np.concatenate([flat, np.zeros(1, np.uint32)])
         n = np.ones(len(symbols), np.int64)
         n[is_rule] = self.lengths[rule[is_rule]]
         ends = np.cumsum(n)
         out = np.repeat(symbols.astype(np.uint32), n)
         begin = np.zeros(len(symbols), np.int64)
-        begin[is_rule] = self.offsets[rule[is_rule]]
+        begin[is_rule] = offsets[rule[is_rule]]
         pick = np.repeat(is_rule, n)
         index = np.arange(len(out)) - np.repeat(ends - n, n) + np.repeat(begin, n)
         out[pick] = source[index[pick]]
@@ -185,11 +210,11 @@ class Shard:
 
     def ids(self, i: int) -> np.ndarray:
         """Ids of document i alone."""
-        stop = self.symbol_at[i + 1] if i + 1 < len(self.symbol_at) else len(self.symbols)
-        return self.expand(self.symbols[self.symbol_at[i] : stop])
+        stop = self.symbol_at[i + 1] if i + 1 < len(self.symbol_at) else self.n_symbols
+        return self.expand_few(self.symbols(int(self.symbol_at[i]), int(stop)))
 
     def documents(self) -> list[np.ndarray]:
-        return np.split(self.expand(self.symbols), self.id_at[1:]) if len(self) else []
+        return np.split(self.expand(self.symbols()), self.id_at[1:]) if len(self) else []
 
 
 # --------------------------------------------------------------------- the job

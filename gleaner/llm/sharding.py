@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from ._common import parts, stored, with_text
 
 SHARDS = 24
-#: Fine ranges per shard, and sample keys per fine range: bounds what the driver holds.
-RANGES_A_SHARD, KEYS_A_RANGE = 16, 16
+#: Fine ranges per shard at least, and sample keys per fine range; a range holds about ROWS_A_RANGE rows at most, as one
+#: task sorts it, so ranges (and what the driver holds of them) grow with the table.
+RANGES_A_SHARD, KEYS_A_RANGE, ROWS_A_RANGE = 16, 16, 500_000
 ROW_BYTES = 8
 
 
@@ -70,12 +71,13 @@ def with_range(rows: DataFrame, cuts: list[tuple[str, int]]) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("range", T.IntegerType())]))
 
 
-def assign(df: DataFrame, shards: int = SHARDS, ranges_a_shard: int = RANGES_A_SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assign(df: DataFrame, shards: int = SHARDS, ranges_a_shard: int = RANGES_A_SHARD, id_col: str = "doc_id", text_col: str = "text", rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row."""
     spark = df.sparkSession
     rows = stored(records(df, id_col, text_col), "shard-records")
-    ranged = stored(with_range(rows, sample_splitters(rows, shards * ranges_a_shard)), "shard-ranges")
-    # One row per fine range: at most shards * ranges_a_shard of them.
+    ranges = max(shards * ranges_a_shard, -(-rows.count() // rows_a_range))
+    ranged = stored(with_range(rows, sample_splitters(rows, ranges)), "shard-ranges")
+    # One row per fine range.
     sums = ranged.groupBy("range").agg(F.sum("size").alias("bytes"))
     bounded = Window.orderBy("range")
     sums = sums.select("range", (F.sum("bytes").over(bounded) - F.col("bytes")).alias("before"), F.sum("bytes").over(bounded.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))

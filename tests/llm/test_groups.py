@@ -155,6 +155,14 @@ def test_sharding(spark, shards):
     assert sharding.assign(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    asked, plain = [], sharding.sample_splitters
+    monkeypatch.setattr(sharding, "sample_splitters", lambda rows, ranges: asked.append(ranges) or plain(rows, ranges))
+    df = frame(spark, [f"text {i}" for i in range(300)])
+    assert sharding.assign(df, 3, rows_a_range=4).count() == 300 == sharding.assign(df, 3).count()
+    assert asked == [75, 48]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(7)
     centres = rng.standard_normal((12, 16))

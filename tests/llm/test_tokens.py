@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 import regex
 import tiktoken
 from tokenizers import Tokenizer
@@ -121,7 +122,7 @@ def test_repair_round_trip_and_random_access():
             assert np.array_equal(shard.ids(int(i)), want[i])
     assert len(shard.rules) == 0
     big = repair.Shard(repair.write_shard(np.tile(np.arange(7, dtype=np.uint32), 900), np.array([0])))
-    assert len(big.symbols) < 1500 and big.lengths.max() >= 8
+    assert big.n_symbols < 1500 and big.lengths.max() >= 8
 
 
 def test_token_shards(spark, tmp_path):
@@ -185,3 +186,24 @@ def test_stitching_scans_a_text_a_few_times_only():
             pieces_ = bpe.stitched(Counted(), text, 1024, 16)
             assert "".join(pieces_) == text and sum(scanned) <= 6 * n
             assert [m[0] for p in pieces_ for m in pattern.finditer(p)] == pattern.findall(text)
+
+
+def test_one_document_is_decoded_from_its_own_frames():
+    rng = np.random.default_rng(7)
+    docs = [np.tile(rng.integers(0, 50, 30), rng.integers(1, 9)).astype(np.uint32) for _ in range(900)]
+    starts = np.cumsum([0, *(len(d) for d in docs[:-1])])
+    shard = repair.Shard(repair.write_shard(np.concatenate(docs), starts, frame=512))
+    assert shard.n_symbols > 20 * 512
+    inflated, plain = [], shard._inflate
+
+    def counted(data):
+        inflated.append(len(out := plain(data)))
+        return out
+
+    shard._inflate = counted
+    for i in (0, 450, 899):
+        inflated.clear()
+        assert np.array_equal(shard.ids(i), docs[i]) and 1 <= len(inflated) <= 2 and max(inflated) <= 2 * 512
+    assert all(np.array_equal(a, b) for a, b in zip(shard.documents(), docs, strict=True))
+    with pytest.raises(ValueError, match="shard"):
+        repair.Shard(b"junk")
