@@ -295,17 +295,24 @@ def classes(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     return placed.where("root is not null").join(first, "root").select("doc_id", "class_id").unionByName(alone)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of df has it."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def keep_one(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The row of the smallest id of each class, with all its columns; rows without words all stay."""
     own, roots = links(with_text(df, id_col, text_col), threshold, **options)
     placed = own.where("node is not null").join(roots, "node", "left").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("low"))
-    keep_digest, keep_id = "__digest", "__keep_id"
+    keep_digest, keep_id, mine = (free_name(df, x) for x in ("__digest", "__keep_id", "__own"))
     keepers = first.select(F.col("low.digest").alias(keep_digest), F.col("low.doc_id").alias(keep_id))
     # Rows meet their keeper by id and text, so the copies of one text do not gather in one task.
     wordless = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
-    named = df.where(~wordless).withColumn("__own", digest(F.col(text_col)))
-    kept = named.join(keepers, F.col(id_col).eqNullSafe(F.col(keep_id)) & (F.col("__own") == F.col(keep_digest))).dropDuplicates([id_col, "__own"]).select(*df.columns)
+    named = df.where(~wordless).withColumn(mine, digest(F.col(text_col)))
+    kept = named.join(keepers, F.col(id_col).eqNullSafe(F.col(keep_id)) & (F.col(mine) == F.col(keep_digest))).dropDuplicates([id_col, mine]).select(*df.columns)
     return kept.unionByName(df.where(wordless))
 
 

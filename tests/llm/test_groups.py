@@ -66,6 +66,12 @@ def test_classes_equal_brute_force(spark):
     assert got == dict(enumerate(brute_classes(texts)))
 
 
+def test_keep_one_leaves_clashing_columns_alone(spark):
+    rows = [(1, "a b c d e f", "x", "y", 5), (2, "a b c d e f", "p", "q", 6), (3, "other words stand in this one", None, "z", 7), (4, None, "n", "n", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __own string, __DIGEST string, __keep_id long")
+    assert sorted(map(tuple, bagminhash.keep_one(df).collect())) == [rows[0], rows[2], rows[3]]
+
+
 def test_keep_one(spark):
     texts = corpus(2)
     df = frame(spark, texts)
