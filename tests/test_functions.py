@@ -51,7 +51,9 @@ def test_rounds_codes_markers(spark):
     assert column(spark, ["Pre-A+轮", "A轮和B++轮", "天使轮", "无"], text.rounds) == [["prea+"], ["a", "b++"], ["天使"], []]
     assert column(spark, ["XW-2026-001", "LW-2026-009-R2"], text.base_code) == ["xw2026001", "lw2026009"]
     got = column(spark, ["2026年 第03批 标段-2", "第一包"], text.markers)
-    assert (got[0].year, got[0].batch, got[0].lot, got[1].lot) == (2026, "3", "2", "一")
+    assert (got[0].year, got[0].batch, got[0].lot, got[1].lot) == (2026, "3", "2", "1")
+    said = ["第03", "三", "03", "十二", "二十", "一百零五", "〇三", "零", "00", "第 A1", "x三", "", "两千零十", None, "第十", "3十"]
+    assert column(spark, said, text.marker) == ["3", "3", "3", "12", "20", "105", "3", "0", "0", " a1", "x三", "", "2010", None, "10", "3十"]
 
 
 @pytest.mark.parametrize(("said", "number"), [("十二", 12), ("三", 3), ("一百零五", 105), ("二〇二六", 2026), ("x", None), ("", None), ("千", 1000)])
