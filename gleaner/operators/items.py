@@ -99,3 +99,30 @@ def financing_lines(items: DataFrame, start: Column, end: Column) -> DataFrame:
         F.when(F.size(links) > 0, said("来源", F.array_join(links, "｜"))),
     )
     return items.withColumn("label", label).select("financing_id", "place", "label", F.array_compact(lines).alias("lines"))
+
+
+def procurements(projects: DataFrame, events: DataFrame, changed_projects: DataFrame, changed_events: DataFrame, start: Column, end: Column, day_start: Column, day_end: Column) -> DataFrame:
+    """(kind, id, latest_at, changed, label, event_id, event_type): procurements to show, projects and single notices.
+
+    A project is shown if its latest notice is verified and its latest date lies in the closed window; then none of its
+    notices is shown alone.  Of the other notices those that are verified, formal and dated in the window are.  Label and
+    order are those of financings; see in_order().  Notices of no project that is shown meet by an anti join on ids.
+
+    projects: project_id, event_ids (array), latest_event_at.  events: event_id, event_type, published_at, status, formal.
+    """
+    own = projects.select("project_id", "latest_event_at", F.explode_outer("event_ids").alias("event_id"))
+    at = F.struct("published_at", "event_id", "event_type", "status")
+    last = own.join(events, "event_id", "left").groupBy("project_id").agg(F.max("latest_event_at").alias("dated"), F.max(F.when(F.col("published_at").isNotNull(), at)).alias("e"))
+    latest = F.greatest("dated", F.col("e.published_at"))
+    whole = last.where(F.col("e").isNotNull() & (F.col("e.status") == "verified") & latest.between(start, end)).select(F.lit("project").alias("kind"), F.col("project_id").alias("id"), latest.alias("latest_at"), "e.event_id", "e.event_type")
+    covered = own.join(whole.select(F.col("id").alias("project_id")), "project_id", "left_semi").select("event_id").distinct()
+    single = events.where((F.col("status") == "verified") & F.col("formal") & F.col("published_at").between(start, end)).join(covered, "event_id", "left_anti")
+    single = single.select(F.lit("event").alias("kind"), F.col("event_id").alias("id"), F.col("published_at").alias("latest_at"), "event_id", "event_type")
+    touched = changed_projects.select(F.lit("project").alias("kind"), F.col("project_id").alias("id")).unionByName(changed_events.select(F.lit("event").alias("kind"), F.col("event_id").alias("id"))).distinct().withColumn("__changed", F.lit(True))
+    rows = whole.unionByName(single).join(touched, ["kind", "id"], "left").withColumn("changed", F.coalesce("__changed", F.lit(False)))
+    return rows.select("kind", "id", "latest_at", "changed", report_label(F.col("latest_at"), F.col("changed"), day_start, day_end).alias("label"), "event_id", "event_type")
+
+
+def in_order() -> list[Column]:
+    """Changed in this run first, then the latest, then by id."""
+    return [F.desc("changed"), F.desc("latest_at"), F.asc("id")]

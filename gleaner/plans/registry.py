@@ -683,6 +683,21 @@ def financing_items(spark, sf):
     return found.select(F.col("financing_id").cast("long").alias("o_orderkey"), "label", F.element_at("lines", 1).alias("headline"), F.element_at("lines", -1).alias("links"))
 
 
+@query("""WITH e AS (SELECT 'e' || event_id AS event_id, user_id, event_type, ts, event_id % 5 <> 0 AS good, event_id % 7 <> 0 AS formal FROM events),
+ p AS (SELECT user_id, max(ts) AS latest_at, arg_max(event_id, struct_pack(a := ts, b := event_id)) AS event_id, arg_max(good, struct_pack(a := ts, b := event_id)) AS good FROM e WHERE user_id % 2 = 0 AND event_type IN ('click', 'purchase', 'signup') GROUP BY 1),
+ w AS (SELECT * FROM p WHERE good AND latest_at BETWEEN TIMESTAMP '2024-01-20 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'),
+ r AS (SELECT 'project' AS kind, 'p' || user_id AS id, latest_at, user_id % 6 = 0 AS changed, event_id FROM w
+  UNION ALL SELECT 'event', event_id, ts, event_type = 'error', event_id FROM e WHERE good AND formal AND ts BETWEEN TIMESTAMP '2024-01-20 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00' AND NOT (event_type IN ('click', 'purchase', 'signup') AND user_id IN (SELECT user_id FROM w)))
+ SELECT kind, id, latest_at, CASE WHEN latest_at >= TIMESTAMP '2024-01-30 00:00:00' THEN 'daily' WHEN changed THEN 'historical' ELSE 'rolling' END AS label, event_id FROM r""")
+def procurement_items(spark, sf):
+    """Even users' clicks, signups and purchases as projects, all events as notices: projects and uncovered notices to show."""
+    e = table(spark, sf, "events").select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"), "user_id", "event_type", F.col("ts").alias("published_at"), F.when(F.col("event_id") % 5 != 0, "verified").otherwise("pending").alias("status"), (F.col("event_id") % 7 != 0).alias("formal"))
+    p = e.where((F.col("user_id") % 2 == 0) & F.col("event_type").isin("click", "purchase", "signup")).groupBy("user_id").agg(F.collect_list("event_id").alias("event_ids"), F.max("published_at").alias("latest_event_at")).withColumn("project_id", F.concat(F.lit("p"), F.col("user_id").cast("string")))
+    at = lambda d: F.expr(f"TIMESTAMP_NTZ '2024-01-{d} 00:00:00'")
+    found = items.procurements(p, e.drop("user_id"), p.where("user_id % 6 = 0"), e.where("event_type = 'error'"), at(20), at(31), at(30), at(31))
+    return found.select("kind", "id", "latest_at", "label", "event_id")
+
+
 _SIGNAL_SQL = f"""WITH o AS (SELECT o_orderkey AS pos, '客户' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS name, o_orderstatus AS st, o_orderpriority AS pr, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) % 365 AS INTEGER) AS day, 'http://d/' || o_orderkey % 2900 AS url,
   CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN 'eo_turret' ELSE '{lx.FINANCING}' END AS category, CASE o_orderpriority WHEN '1-URGENT' THEN 'A轮' WHEN '2-HIGH' THEN 'B轮' END AS round FROM orders),
  x AS (SELECT *, name || CASE WHEN pr = '3-MEDIUM' THEN ' Pre-A轮融资' ELSE ' 融资' || pos END AS title FROM o),
