@@ -162,11 +162,24 @@ def same_event(left: dict, right: dict, financing: str = lx.FINANCING) -> bool:
 def group_events(df: DataFrame, pos: str, order: Sequence[str]) -> DataFrame:
     """(pos, leader) by greedy event equality; rows are held against earlier leaders in rank order.
 
-    Needs category, company, rounds, code, stage, title_key, published_us.
+    Financings of a company with rounds are compared by these alone, so they share a key for each round, and a code or a
+    title only where a row that is none of them has it too; else one title would make one block of all companies.
+    Needs category, company, rounds, code, stage, title_key, published_us; other columns stay behind.
     """
     tag = lambda kind, *cols: F.when(F.forall(F.array(*[c.isNotNull() for c in cols]), lambda x: x), F.concat_ws("\x01", F.lit(kind), F.coalesce("category", F.lit("")), *cols))
-    keys = F.array(tag("c", F.col("company")), tag("n", F.col("code")), tag("t", F.col("stage"), F.col("title_key")))
-    return fold(df, pos, keys, order, same_event)
+    financing = F.coalesce(F.col("category") == lx.FINANCING, F.lit(False))
+    whole = F.coalesce(financing & (F.col("company") != "") & (F.size("rounds") > 0), F.lit(False))
+    needed = dict.fromkeys([pos, *order, "category", "company", "rounds", "code", "stage", "title_key", "published_us"])
+    rows = df.select(*needed, whole.alias("__whole"), tag("n", F.col("code")).alias("__n"), tag("t", F.col("stage"), F.col("title_key")).alias("__t"))
+    others = rows.where(financing & ~F.col("__whole"))
+    if others.isEmpty():
+        rows = rows.withColumns({k: F.when(~F.col("__whole"), F.col(k)) for k in ("__n", "__t")})
+    else:
+        for k in ("__n", "__t"):
+            held = others.where(F.col(k).isNotNull()).select(F.col(k).alias("__k")).distinct()
+            rows = rows.join(held, F.col(k) == F.col("__k"), "left").withColumn(k, F.when(~F.col("__whole") | F.col("__k").isNotNull(), F.col(k))).drop("__k")
+    named = F.when(F.col("__whole"), F.transform("rounds", lambda r: tag("c", F.col("company"), r))).otherwise(F.array().cast("array<string>"))
+    return fold(rows, pos, F.concat(named, F.array("__n", "__t")), order, same_event)
 
 
 def select_candidates(rows: DataFrame, now: Column, minimum: int = 5, maximum: int = 10, fallback_days: int = 30, preferred: Sequence[str] = (), balanced: bool = False, lexicon: Lexicon = Lexicon()) -> tuple[DataFrame, DataFrame, DataFrame]:

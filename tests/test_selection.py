@@ -1,7 +1,11 @@
 """Selection end to end on small made-up candidates."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from gleaner.functions import lexicon as lx
 from gleaner.operators import select
 from gleaner.operators.blocks import fold
 
@@ -64,3 +68,36 @@ def test_backfill_takes_older_then_undated_rows_up_to_the_minimum(spark):
 def test_empty_input(spark):
     chosen, extra, counts = select.select_candidates(candidates(spark, []), F.to_timestamp(F.lit(NOW)))
     assert chosen.count() == 0 and extra.count() == 0 and counts.first().raw == 0
+
+EVENTS = "pos long, category string, company string, rounds array<string>, code string, stage string, title_key string, published_us long"
+
+
+def test_financings_of_one_title_are_blocks_of_their_companies(spark, monkeypatch):
+    """300 companies share stage and title: no block is crowded, as none of them can be another's."""
+    import functools
+
+    from gleaner.operators import blocks
+
+    monkeypatch.setattr(select, "fold", functools.partial(fold, most=20))
+    monkeypatch.setattr(blocks, "fold_crowded", lambda *a, **k: pytest.fail("a crowded block"))
+    df = spark.createDataFrame([(i, lx.FINANCING, f"c{i % 300}", ["a"], None, "s", "", None) for i in range(900)], EVENTS)
+    assert {r.pos: r.leader for r in select.group_events(df, "pos", ["pos"]).collect()} == {i: i % 300 for i in range(900)}
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+def test_event_groups_against_one_pass(spark, mixed):
+    """Financings without company or round meet the others by code or title; random rows, all held against all."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        whole = not mixed or rng.random() < 0.8
+        category = lx.FINANCING if rng.random() < 0.7 else "c"
+        rows.append((i, category, rng.choice("ab") if whole else rng.choice([None, ""]), rng.choice([["a"], ["b"], ["a", "b"]] + [[]] * mixed), rng.choice([None, None, "", "n1", "n2"]), rng.choice("st"), rng.choice("xyz"), rng.choice([None, *range(0, 60 * 86_400_000_000, 86_400_000_000)])))
+    names = [x.split(" ")[0] for x in EVENTS.split(", ")]
+    leaders, want = [], {}
+    for row in (dict(zip(names, r, strict=True)) for r in rows):
+        lead = next((x for x in leaders if select.same_event(row, x)), None)
+        if lead is None:
+            leaders.append(lead := row)
+        want[row["pos"]] = lead["pos"]
+    assert {r.pos: r.leader for r in select.group_events(spark.createDataFrame(rows, EVENTS), "pos", ["pos"]).collect()} == want
