@@ -68,6 +68,19 @@ def block_ids(df: DataFrame, pos: str, keys: Column, links: DataFrame | None = N
     return stored(found.unionByName(alone.select("pos", F.col("pos").alias("block"))), "blocks")
 
 
+def by_scope(rows: DataFrame, scope: Column, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with block, rows of crowded scopes or None); rows of different scopes must never meet, rows should be stored.
+
+    A scope of at most `most` rows is a block as it stands: blocks may be coarser than need be, and nothing has to be
+    linked.  Scopes with an equal hash are one block, or crowded together.  Rows of larger scopes come without a block.
+    """
+    scoped = rows.withColumn("block", F.xxhash64(scope))
+    crowded = stored(scoped.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > most).select("block"), "crowded-scopes")
+    if crowded.isEmpty():
+        return scoped, None
+    return scoped.join(crowded, "block", "left_anti"), scoped.join(crowded, "block", "left_semi").drop("block")
+
+
 # --------------------------------------------------------------------- greedy folds
 class Leaders:
     """Group leaders in order, found by their keys where keys are given."""
@@ -131,12 +144,17 @@ def in_blocks(blocked: DataFrame, order: Sequence[str], work: Callable[[list[dic
     return blocked.repartition("block").sortWithinPartitions("block", *[F.asc_nulls_last(c) for c in order]).mapInPandas(run, schema)
 
 
-def fold(df: DataFrame, pos: str, keys: Column, order: Sequence[str], same: Callable[[dict, dict], bool], links: DataFrame | None = None, most: int = MOST, step: int = STEP) -> DataFrame:
+def fold(df: DataFrame, pos: str, keys: Column, order: Sequence[str], same: Callable[[dict, dict], bool], links: DataFrame | None = None, most: int = MOST, step: int = STEP, scope: Column | None = None) -> DataFrame:
     """(pos, leader): greedy first-leader clustering, inside lossless blocks, rows in the given order, nulls last.
 
     The relation need not be transitive: a row is held against group leaders only, the earliest first.  Rows that it
-    relates must share a key, or else be connected by the links (a, b) of positions, if these are given.
+    relates must share a key, or else be connected by the links (a, b) of positions, if these are given.  Where they
+    must be of one scope too, only the rows of scopes of more than `most` rows are dealt into finer blocks.
     """
+    if scope is not None and links is None:
+        small, rest = by_scope(df, scope, most)
+        done = _folded(small.withColumn("__keys", F.array_distinct(F.array_compact(keys))), pos, [*order, pos], same)
+        return done if rest is None else done.unionByName(fold(rest, pos, keys, order, same, None, most, step))
     found = block_ids(df, pos, keys, links)
     blocks = found.select(F.col("pos").alias("__pos"), "block")
     keyed = F.array_distinct(F.array_compact(keys)) if links is None else F.lit(None).cast("array<string>")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from calendar import monthrange
 from datetime import date, timedelta
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.urls import normalize_url
 from ..sources.shared import stored
-from .blocks import block_ids, in_blocks
+from .blocks import block_ids, by_scope, connected, in_blocks
 
 DAY_US = 86_400_000_000
 LIFECYCLE_MONTHS = 18
 SUSPECTED, SAME = 0.75, 0.9
+#: Rows of one buyer and category, or one company, that are a block as they stand.
+MOST = 2_000
 
 
 def months_after(us: int, months: int) -> int:
@@ -33,6 +36,24 @@ def months_after(us: int, months: int) -> int:
     return (later - date(1970, 1, 1)).days * DAY_US + rest
 
 
+@lru_cache(maxsize=1 << 15)
+def likeness(a: str, b: str) -> float:
+    return SequenceMatcher(None, a, b).ratio()
+
+
+def most_alike(title: str, projects: list[dict]) -> tuple[float, dict]:
+    """The greatest similarity of a title, with the first project that has it; only equal titles reach 1."""
+    equal = next((p for p in projects if p["title"] == title), None)
+    if equal is not None:
+        return 1.0, equal
+    best, found = -1.0, None
+    for p in projects:
+        n, m = len(title), len(p["title"])
+        if 2.0 * min(n, m) / (n + m) > best and (score := likeness(title, p["title"])) > best:  # no more than the shorter one can match
+            best, found = score, p
+    return best, found
+
+
 def plain_match(event: dict, projects: list[dict], total: int) -> dict:
     """Decision for one event against the projects of its buyer; `total` counts all projects anywhere.
 
@@ -68,9 +89,7 @@ def plain_match(event: dict, projects: list[dict], total: int) -> dict:
     for p in aligned:
         if p["title"] == event["title"]:
             return out("same_project", p, "rebid_original_code", 1.0)
-    scored = [(SequenceMatcher(None, event["title"], p["title"]).ratio(), p) for p in aligned or eligible]
-    best = max(s for s, _ in scored)
-    p = next(p for s, p in scored if s == best)
+    best, p = most_alike(event["title"], aligned or eligible)
     if event["rebid"]:
         if p in aligned:
             return out("suspected", p, "rebid_core_title_mismatch", best)
@@ -120,10 +139,13 @@ def alike_titles(titles: DataFrame, at: str, scope: str, title: str, least: floa
 
 
 # --------------------------------------------------------------------- projects
+def _scope() -> Column:
+    return F.concat_ws("\x01", F.coalesce("buyer", F.lit("\x02")), F.coalesce("category", F.lit("\x02")))
+
+
 def _project_blocks(rows: DataFrame) -> DataFrame:
     """(pos, block): rows that share a code, a base code, a title or an alike title with the same buyer and category."""
-    scope = F.concat_ws("\x01", F.coalesce("buyer", F.lit("\x02")), F.coalesce("category", F.lit("\x02")))
-    scoped = rows.select("pos", scope.alias("scope"), "title", "codes", "base_codes")
+    scoped = rows.select("pos", _scope().alias("scope"), "title", "codes", "base_codes")
     tagged = lambda kind, values: F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.concat_ws("\x01", F.lit(kind), "scope", v))
     keys = F.concat(tagged("c", F.col("codes")), tagged("b", F.col("base_codes")), tagged("t", F.array(F.coalesce("title", F.lit("")))))
     scoped = stored(scoped, "project-rows")
@@ -179,14 +201,15 @@ def _only_reason(folded: DataFrame, rows: DataFrame) -> tuple[int, str] | None:
     return second.pos, found["reason"] if found["relation"] == "new_project" else "no_match"
 
 
-def fold_projects(events: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def fold_projects(events: DataFrame, known: DataFrame | None = None, most: int = MOST) -> DataFrame:
     """(pos, project, relation, reason, score): events resolved one after another, in order of pos, from 0.
 
     events: pos, buyer, category, title (core), codes, base_codes, rebid, year, year_stated, batch, lot, us.
     known: projects of the state, id, buyer, category, title, codes, base_codes, year, batch, lot, latest_us.
 
     A buyer or category mismatch always excludes, and every decision rests on a shared code, a shared base code or a
-    similarity of 0.75: these make the blocks.  So `score` is 0 for a new project, whose best similarity is below that.
+    similarity of 0.75: these make the blocks of a buyer and category with many rows; one of few rows is a block as it
+    stands.  So `score` is 0 for a new project, whose best similarity is below that.
     Where the whole list holds one project, the reason of a new one is that project's first failing guard; this can be
     one event only, the one that opens the second project, and it is settled after the fold.  New projects are named by
     the position of their event in twelve digits; similarity ties go to the smallest name.
@@ -197,9 +220,11 @@ def fold_projects(events: DataFrame, known: DataFrame | None = None) -> DataFram
         old = known.select((-1 - F.monotonically_increasing_id()).alias("pos"), "id", F.lit(True).alias("known"), *_EVENT, F.coalesce("codes", none).alias("codes"), F.coalesce("base_codes", none).alias("base_codes"), F.lit(False).alias("rebid"), F.lit(False).alias("year_stated"), F.col("latest_us").alias("us"))
         rows = old.unionByName(rows)
     rows = stored(rows, "project-events")
-    blocks = _project_blocks(rows)
+    blocked, rest = by_scope(rows, _scope(), most)
+    if rest is not None:
+        blocked = blocked.unionByName(rest.join(_project_blocks(rest), "pos"))
     schema = "pos long, project string, relation string, reason string, score double, alone string, first boolean"
-    folded = stored(in_blocks(rows.join(blocks, "pos"), ["pos"], _fold_block, schema), "project-matches")
+    folded = stored(in_blocks(blocked, ["pos"], _fold_block, schema), "project-matches")
     only = _only_reason(folded, rows)
     reason = F.col("reason") if only is None else F.when(F.col("pos") == only[0], F.lit(only[1])).otherwise(F.col("reason"))
     return folded.select("pos", "project", "relation", reason.alias("reason"), "score")

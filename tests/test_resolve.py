@@ -136,3 +136,23 @@ def test_terms_of_financings(spark):
     rows = spark.createDataFrame(reports, "pos long, company string, round_name string, subtype string, announced string, amount_cny double, disclosed boolean, investors array<string>, urls array<string>").withColumn("announced_at", F.to_date("announced"))
     got = {r.pos: r.financing for r in resolve.fold_financings(resolve.prepared_financings(rows)).collect()}
     assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_buyers_of_few_events_need_no_similarity_join(spark, monkeypatch):
+    """Only a buyer and category of more than `most` events is dealt into blocks by its titles; the decisions stay."""
+    rows = events(random.Random(8), 200, ["b", "b", "b", "c", "d", None])
+    want, plain, asked = plain_projects(rows), resolve._project_blocks, []
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], EVENT)
+    got = lambda most: {r.pos: (r.project, r.relation, r.reason, r.score) for r in resolve.fold_projects(df, most=most).collect()}
+    monkeypatch.setattr(resolve, "_project_blocks", lambda rows: asked.append(rows.select("buyer", "category").distinct().count()) or plain(rows))
+    assert got(200) == want and asked == []
+    assert got(40) == want and asked == [1]
+
+
+def test_most_alike_is_the_first_of_the_greatest_similarity():
+    rng = random.Random(9)
+    for _ in range(300):
+        title, *others = ("".join(rng.choice("ab 项") for _ in range(rng.choice([1, 3, 6]))) for _ in range(6))
+        scores = [SequenceMatcher(None, title, t).ratio() for t in others]
+        best, found = resolve.most_alike(title, [{"title": t, "id": i} for i, t in enumerate(others)])
+        assert (best, found["id"]) == (max(scores), scores.index(max(scores)))
