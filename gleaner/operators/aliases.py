@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..sources.shared import stored
 
 #: Bytes of bare names that one pass takes to every task.
-PIECE_BYTES = 32 << 20
+PIECE_BYTES = 8 << 20
 _HIT = "probe long, stage int, sub int, kind string, place int, domain string, exact int, n int, alias string"
 
 
@@ -104,6 +104,29 @@ def found_names(probes: DataFrame, registry: DataFrame, most: int = PIECE_BYTES,
     return best.select("probe", "stage", "sub", "kind", "place", "domain", F.col("b.alias").alias("alias"))
 
 
+def contained(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(at, name): the names that stand in short texts, as an equality join, for as many names as there are texts.
+
+    A name is found by one of its parts, as long as the largest power of two that fits: the one that the fewest names
+    have.  Texts offer all their parts of those lengths, and what meets is held against the whole name.  For long texts
+    and few names, see found_names().  texts: at, said.  names: name; all in normal form.
+    """
+    wide = F.expr("shiftleft(1, length(bin(char_length(name))) - 1)")
+    sized = names.select("name").where("name <> ''").distinct().select("name", F.char_length("name").alias("n"), wide.alias("k"))
+    part = lambda c, i, k: F.struct(k.alias("k"), F.xxhash64(F.substring(c, i, k)).alias("h"), i.alias("i"))
+    each = stored(sized.select("name", F.explode(F.transform(F.sequence(F.lit(1), F.col("n") - F.col("k") + 1), lambda i: part(F.col("name"), i, F.col("k")))).alias("p")).select("name", "p.*"), "name-parts")
+    shared = each.groupBy("k", "h").agg(F.count("*").alias("df"))
+    anchors = stored(each.join(shared, ["k", "h"]).groupBy("name").agg(F.min(F.struct("df", "i", "k", "h")).alias("a")).select("name", "a.k", "a.h", F.col("a.i").alias("off")), "name-anchors")
+    widths = sorted(r.k for r in anchors.select("k").distinct().collect())  # powers of two, so a handful
+    none = F.array().cast("array<struct<k:int,h:bigint,i:int>>")
+    size = F.char_length("said")
+    own = lambda k: F.when(size >= k, F.transform(F.sequence(F.lit(1), size - k + 1), lambda i: part(F.col("said"), i, F.lit(k)))).otherwise(none)
+    offered = texts.select("at", F.explode(F.concat(*[own(k) for k in widths], none)).alias("p")).select("at", "p.*")
+    met = offered.join(anchors, ["k", "h"]).where("i >= off").select("at", "name", (F.col("i") - F.col("off") + 1).alias("from"))
+    held = met.join(texts, "at").where(F.substring("said", F.col("from"), F.char_length("name")) == F.col("name"))
+    return held.select("at", "name").distinct()
+
+
 def named_in(texts: DataFrame, registry: DataFrame, id_col: str, text_col: str, most: int = PIECE_BYTES) -> DataFrame:
     """(id, kind, domain, alias) of the domains with an alias in a text, the shortest one first by text."""
     probes = texts.select(F.col(id_col).cast("long").alias("probe"), F.lit(0).alias("stage"), F.lit(0).alias("sub"), bare_name(F.col(text_col)).alias("said"), F.lit(False).alias("as_name"), F.lit(None).cast("string").alias("kinds"))

@@ -11,7 +11,7 @@ from ..functions import clock
 from ..functions import lexicon as lx
 from ..functions.text import escape_markdown, money, short_summary
 from ..sources.shared import stored
-from .aliases import found_names
+from .aliases import contained
 from .blocks import fold
 
 
@@ -200,9 +200,8 @@ def held_subjects(leads: DataFrame, pos: str, subject: str) -> DataFrame:
     """(a, b): links of positions whose subjects hold one another, as few as connect them all."""
     names = stored(leads.where(F.col(subject) != "").groupBy(F.col(subject).alias("alias")).agg(F.min(pos).alias("first")), "subjects")
     same = leads.join(names, F.col(subject) == F.col("alias")).select(F.col("first").alias("a"), F.col(pos).alias("b"))
-    registry = names.select(F.lit("").alias("kind"), F.lit(0).alias("place"), F.col("first").cast("string").alias("domain"), "alias")
-    probes = names.select(F.col("first").alias("probe"), F.lit(0).alias("stage"), F.lit(0).alias("sub"), F.col("alias").alias("said"), F.lit(False).alias("as_name"), F.lit(None).cast("string").alias("kinds"))
-    inside = found_names(probes, registry, bare=lambda c: c).select(F.col("domain").cast("long").alias("a"), F.col("probe").alias("b"))
+    found = contained(names.select(F.col("first").alias("at"), F.col("alias").alias("said")), names.select(F.col("alias").alias("name")))
+    inside = found.join(names, F.col("name") == F.col("alias")).select(F.col("first").alias("a"), F.col("at").alias("b"))
     return same.unionByName(inside).where("a <> b")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as lx
 from ..functions import text
 from ..sources.shared import stored
-from .aliases import found_names
+from .aliases import contained
 from .blocks import block_ids, in_blocks
 from .report import held_subjects, identity_text, same_signal
 
@@ -41,9 +41,8 @@ def overlapping(leads: DataFrame, verified: DataFrame, days: int = DAYS) -> Data
     day once, so neither a much reported company nor its leads make pairs in proportion to their product.
     """
     known = stored(verified.where("company <> ''").select("company", F.coalesce("rounds", F.array().cast("array<string>")).alias("rounds"), "day").distinct(), "verified")
-    registry = known.select("company").distinct().select(F.lit("").alias("kind"), F.lit(0).alias("place"), F.col("company").alias("domain"), F.col("company").alias("alias"))
-    probes = leads.select(F.col("lead").alias("probe"), F.lit(0).alias("stage"), F.lit(0).alias("sub"), "said", F.lit(False).alias("as_name"), F.lit(None).cast("string").alias("kinds"))
-    named = found_names(probes, registry, bare=lambda c: c).select(F.col("probe").alias("lead"), F.col("domain").alias("company"))
+    leads = stored(leads, "asked-leads")
+    named = contained(leads.select(F.col("lead").alias("at"), "said"), known.select(F.col("company").alias("name"))).select(F.col("at").alias("lead"), F.col("name").alias("company"))
     bucket = lambda c: F.floor(c / days)
     dated = known.where("day is not null").groupBy("company", bucket(F.col("day")).alias("bucket")).agg(F.collect_set(F.struct("rounds", "day")).alias("own"))
     ever = known.groupBy("company").agg(F.collect_set("rounds").alias("own"))

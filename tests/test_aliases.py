@@ -59,3 +59,26 @@ def test_a_hundred_thousand_names(spark):
                 at = (k, f"d{i % 5000}")
                 want[at] = min(want.get(at, n), n, key=lambda a: (len(a), a))
     assert len(want) > 12 and got == want
+
+
+def test_names_contained_in_short_texts(spark):
+    """Against every pair of text and name; names of many lengths, repeats, and parts that many of them share."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ab客") for _ in range(rng.randrange(n)))
+    names, texts = [word(8) for _ in range(150)] + ["客户00000012", "客户00000123"], [(i, word(20)) for i in range(120)] + [(500, None), (501, "融资客户00000012客户00000012")]
+    got = {tuple(r) for r in aliases.contained(spark.createDataFrame(texts, "at long, said string"), spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    want = {(i, n) for i, t in texts for n in names if n and t and n in t}
+    assert got == want and len(want) > 300
+    assert aliases.contained(spark.createDataFrame(texts, "at long, said string"), spark.createDataFrame([], "name string")).collect() == []
+
+
+def test_signals_hold_no_automaton_of_all_companies(spark, monkeypatch):
+    from gleaner.operators import report, signals
+
+    monkeypatch.setattr(aliases, "Names", None)
+    monkeypatch.setattr(aliases, "pieces", None)
+    leads = spark.createDataFrame([(1, "甲火箭融资", ["a"], 10), (2, "乙卫星融资", ["a"], 10)], "lead long, said string, rounds array<string>, day long")
+    known = spark.createDataFrame([("甲火箭", ["a"], 20)], "company string, rounds array<string>, day long")
+    assert [r.lead for r in signals.overlapping(leads, known).collect()] == [1]
+    subjects = spark.createDataFrame([(1, "甲火箭"), (2, "甲火箭公司"), (3, "甲火箭"), (4, "乙")], "pos long, subject string")
+    assert {frozenset(r) for r in report.held_subjects(subjects, "pos", "subject").collect()} == {frozenset((1, 2)), frozenset((1, 3))}
