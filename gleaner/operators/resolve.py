@@ -255,14 +255,25 @@ def prepared_financings(reports: DataFrame) -> DataFrame:
     names = F.transform(F.coalesce("investors", F.array().cast("array<string>")), lambda i: text.normalize(i))
     rounds = text.rounds(F.col("round_name"))
     return rows.select(
-        "pos", text.organization(F.col("company")).alias("identity"), rounds.alias("rounds"), F.coalesce("subtype", F.when(F.size(rounds) > 0, F.lit("round_equity"))).alias("kind"), F.datediff("announced_at", F.lit("1970-01-01").cast("date")).cast("long").alias("day"),
+        "pos", F.col("__c").alias("name"), text.organization(F.col("company")).alias("identity"), rounds.alias("rounds"), F.coalesce("subtype", F.when(F.size(rounds) > 0, F.lit("round_equity"))).alias("kind"), F.datediff("announced_at", F.lit("1970-01-01").cast("date")).cast("long").alias("day"),
         ids.financing_fingerprint(F.col("announced_at"), F.col("__a"), F.col("__c"), names, F.col("__r"), F.col("subtype")).alias("fingerprint"),
         financing_terms(F.col("__c"), F.col("subtype"), F.col("__r"), F.coalesce("disclosed", F.lit(False)), F.col("__a"), names).alias("terms"),
         F.array_distinct(F.transform(F.filter("urls", lambda u: u.isNotNull() & (u != "")), lambda u: normalize_url(u))).alias("urls"),
     )
 
 
-def fold_financings(rows: DataFrame, same_terms_days: int = 7, shared_source_days: int = 45) -> DataFrame:
+def _company_scopes(rows: DataFrame) -> DataFrame:
+    """rows with scope: a number for each identity, the same for identities that share a name, directly or over others."""
+    hashed = rows.withColumn("scope", F.xxhash64(F.coalesce("identity", F.lit("\x02"))))
+    pairs = hashed.select("name", "scope").distinct()
+    several = stored(pairs.groupBy("name").agg(F.min("scope").alias("a"), F.collect_list("scope").alias("b")).where(F.size("b") > 1).select("a", F.explode("b").alias("b")), "shared-names")
+    if several.isEmpty():
+        return hashed
+    joined = connected(several).withColumnRenamed("pos", "scope").withColumnRenamed("block", "__top")
+    return hashed.join(joined, "scope", "left").withColumn("scope", F.coalesce("__top", "scope")).drop("__top")
+
+
+def fold_financings(rows: DataFrame, same_terms_days: int = 7, shared_source_days: int = 45, most: int = MOST) -> DataFrame:
     """(pos, financing): reports merged one after another, in order of pos, by three rules, the first that decides.
 
     1. The fingerprint of the financing's first report.  2. Exactly one financing with a common source, the same company
@@ -270,12 +281,16 @@ def fold_financings(rows: DataFrame, same_terms_days: int = 7, shared_source_day
     same terms, at most 7 days apart.  A financing keeps the terms of its first report and unites the sources of all.
     rows: pos, identity, rounds, kind, day, fingerprint, terms, urls (see prepared_financings).
 
-    A rule needs an equal fingerprint, equal terms, or a source of the same company, which make the blocks.
+    A rule needs an equal fingerprint, equal terms, or a source of the same company, which make the blocks.  Where rows
+    have a `name` besides, which rows of equal fingerprint or terms share, a company with few reports is a block as it
+    stands.
     """
     tagged = lambda kind, c: F.array(F.when(c.isNotNull(), F.concat_ws("\x01", F.lit(kind), c)))
-    sources = F.transform("urls", lambda u: F.concat_ws("\x01", F.lit("u"), "identity", u))
-    keys = F.concat(tagged("f", F.col("fingerprint")), tagged("t", F.col("terms")), F.when(F.coalesce(F.col("identity"), F.lit("")) != "", sources).otherwise(F.array().cast("array<string>")))
-    rows = stored(rows.select("pos", "identity", "rounds", "kind", "day", "fingerprint", "terms", "urls"), "financing-reports")
+    scoped = "name" in rows.columns
+    # A financing takes the sources of all its reports, of other identities too, so these do not part the keys.
+    sources = F.transform("urls", lambda u: F.concat_ws("\x01", F.lit("u"), *[F.col("scope").cast("string")] * scoped, u))
+    keys = F.concat(tagged("f", F.col("fingerprint")), tagged("t", F.col("terms")), sources)
+    rows = stored(rows.select("pos", *["name"] * scoped, "identity", "rounds", "kind", "day", "fingerprint", "terms", "urls"), "financing-reports")
 
     def work(reports: list[dict]) -> list[tuple]:
         known: list[dict] = []
@@ -308,7 +323,11 @@ def fold_financings(rows: DataFrame, same_terms_days: int = 7, shared_source_day
             out.append((e["pos"], known[found]["pos"]))
         return out
 
-    return in_blocks(rows.join(block_ids(rows, "pos", keys), "pos"), ["pos"], work, "pos long, financing long")
+    blocked, rest = by_scope(_company_scopes(rows).drop("name"), F.col("scope"), most) if scoped else (None, rows)
+    if rest is not None:
+        linked = rest.join(block_ids(rest, "pos", keys), "pos")
+        blocked = linked if blocked is None else blocked.unionByName(linked)
+    return in_blocks(blocked, ["pos"], work, "pos long, financing long")
 
 
 def overlap_anti(leads: DataFrame, verified: DataFrame, company: str, round_: str, when: str, days: int = 45) -> DataFrame:

@@ -156,3 +156,19 @@ def test_most_alike_is_the_first_of_the_greatest_similarity():
         scores = [SequenceMatcher(None, title, t).ratio() for t in others]
         best, found = resolve.most_alike(title, [{"title": t, "id": i} for i, t in enumerate(others)])
         assert (best, found["id"]) == (max(scores), scores.index(max(scores)))
+
+
+def test_companies_of_few_reports_are_not_linked(spark, monkeypatch):
+    """One name may stand for several identities; they are one block.  Only a crowded company is linked over its keys."""
+    rng = random.Random(10)
+    of = {"n0": ["甲"], "n1": ["甲", "乙"], "n2": ["丙"], "n3": ["丁", ""]}
+    rows = []
+    for i in range(200):
+        name = rng.choice([*of, "n0", "n0"])
+        rows.append({"pos": i, "name": name, "identity": rng.choice(of[name]), "rounds": rng.choice([["a"], ["b"], ["a", "b"]]), "kind": "round_equity", "day": rng.randrange(90), "fingerprint": f"{name}{rng.randrange(30)}", "terms": rng.choice([None, f"{name}{rng.randrange(9)}"]), "urls": [f"u{rng.randrange(20)}"]})
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "pos long, name string, identity string, rounds array<string>, kind string, day long, fingerprint string, terms string, urls array<string>").repartition(3)
+    want, plain, asked = plain_financings(rows), resolve.block_ids, []
+    monkeypatch.setattr(resolve, "block_ids", lambda rows, *a: asked.append(rows.count()) or plain(rows, *a))
+    got = lambda most: {r.pos: r.financing for r in resolve.fold_financings(df, most=most).collect()}
+    assert got(200) == want and asked == []
+    assert got(60) == want and len(asked) == 1 and 60 < asked[0] < 200
