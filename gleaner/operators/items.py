@@ -43,7 +43,7 @@ def shown(financings: DataFrame, changed: DataFrame, start: Column, end: Column)
     ranked = stored(ranked, "shown-financings")
     keyed = ranked.select("place", text.organization(F.col("company")).alias("identity"), text.rounds(F.col("round_name")).alias("rounds"), F.datediff("announced_at", F.lit("1970-01-01").cast("date")).cast("long").alias("day"), F.array_compact(sources).alias("sources"))
     keys = F.transform("sources", lambda s: F.concat_ws("\x01", "identity", s))
-    leads = fold(keyed, "place", keys, ["place"], same_shown).where("pos = leader").select(F.col("pos").alias("place"))
+    leads = fold(stored(keyed, "shown-keys"), "place", keys, ["place"], same_shown, scope=F.coalesce("identity", F.lit("\x02"))).where("pos = leader").select(F.col("pos").alias("place"))
     return ranked.join(leads, "place", "left_semi")
 
 

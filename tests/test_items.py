@@ -34,3 +34,14 @@ def test_items_of_verified_financings(spark):
     assert found[0].lines[0] == "- **【已核实·历史补录】星海\\_卫星完成战略融资**" and "  - 金额：2.00万元" in found[0].lines and found[0].lines[-1] == "  - 来源：[来源](http://b/1)"
     assert "  - 金额：未披露" in found[2].lines and "  - 摘要：天穹火箭完成C轮，披露金额未披露" in found[2].lines
     assert items.financing_lines(items.shown(df.limit(0), df.select("financing_id"), F.lit(D(1)), F.lit(D(23))), F.lit(D(1)), F.lit(D(2))).collect() == []
+
+
+def test_companies_of_few_financings_are_not_linked(spark, monkeypatch):
+    """A company is a block as it stands; none is linked over its sources."""
+    from gleaner.operators import blocks
+
+    monkeypatch.setattr(blocks, "block_ids", None)
+    rows = [(f"f{i:02}", "verified", f"公司{i % 3}号", "A轮", None, D(2), {}, f"http://a/{i % 2}", [], None, None, [], None, None, []) for i in range(12)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    shown = items.shown(df, df.limit(0).select("financing_id"), F.lit(D(1)), F.lit(D(23)))
+    assert sorted(r.financing_id for r in shown.collect()) == ["f00", "f01", "f02", "f03", "f04", "f05"]
