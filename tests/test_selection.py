@@ -101,3 +101,11 @@ def test_event_groups_against_one_pass(spark, mixed):
             leaders.append(lead := row)
         want[row["pos"]] = lead["pos"]
     assert {r.pos: r.leader for r in select.group_events(spark.createDataFrame(rows, EVENTS), "pos", ["pos"]).collect()} == want
+
+
+def test_texts_stay_out_of_the_fold(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(select, "fold", lambda df, *a, **k: seen.extend(df.columns))
+    df = spark.createDataFrame([(0, "c", None, [], None, "s", "t", None)], EVENTS).withColumn("summary", F.lit("a whole text"))
+    select.group_events(df, "pos", ["pos"])
+    assert "title_key" in seen and "summary" not in seen
