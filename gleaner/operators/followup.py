@@ -149,9 +149,11 @@ def same_target(left: dict, right: dict, financing: str = lx.FINANCING) -> bool:
 def group_targets(leads: DataFrame, pos: str, order: Sequence[str]) -> DataFrame:
     """(pos, leader): leads of one event, greedily in rank order; leads without a shared alias can never meet.
 
-    leads: category, event_type, aliases, day (days since epoch), rounds, amount, investors (bare names), title_key.
+    leads: category, event_type, aliases, day (days since epoch), rounds, amount, investors (bare names), title_key; other
+    columns stay behind.
     """
-    return fold(leads, pos, F.col("aliases"), order, same_target)
+    needed = dict.fromkeys([pos, *order, "category", "event_type", "aliases", "day", "rounds", "amount", "investors", "title_key"])
+    return fold(leads.select(*needed), pos, F.col("aliases"), order, same_target)
 
 
 def group_keys(leads: DataFrame, groups: DataFrame, pos: str) -> DataFrame:

@@ -208,9 +208,10 @@ def held_subjects(leads: DataFrame, pos: str, subject: str) -> DataFrame:
 def group_signals(leads: DataFrame, pos: str, order: Sequence[str]) -> DataFrame:
     """(pos, leader): leads of one financing, greedily in order; only leads whose names hold one another can meet.
 
-    leads: subject (see identity_text), rounds, amount, day.
+    leads: subject (see identity_text), rounds, amount, day; other columns stay behind.
     """
-    return fold(leads, pos, F.array().cast("array<string>"), order, same_signal, held_subjects(leads, pos, "subject"))
+    rows = leads.select(*dict.fromkeys([pos, *order, "subject", "rounds", "amount", "day"]))
+    return fold(rows, pos, F.array().cast("array<string>"), order, same_signal, held_subjects(rows, pos, "subject"))
 
 
 def merged_signals(leads: DataFrame) -> DataFrame:

@@ -153,6 +153,16 @@ def test_project_lines_and_rolling(spark):
     assert kept == {"p": True, "q": True}
 
 
+def test_texts_of_leads_stay_out_of_the_fold(spark, monkeypatch):
+    seen = []
+    for module in (report, followup):
+        monkeypatch.setattr(module, "fold", lambda df, *a, **k: seen.append(df.columns))
+    shared = spark.createDataFrame([(0, 1, ["a"], None, 10, "a whole text")], "pos long, newest long, rounds array<string>, amount string, day long, summary string")
+    report.group_signals(shared.withColumn("subject", F.lit("s")), "pos", ["newest"])
+    followup.group_targets(shared.withColumns({c: F.lit("k") for c in ("category", "event_type", "title_key")} | {c: F.array(F.lit("k")) for c in ("aliases", "investors")}), "pos", ["newest"])
+    assert seen == [["pos", "newest", "subject", "rounds", "amount", "day"], ["pos", "newest", "category", "event_type", "aliases", "day", "rounds", "amount", "investors", "title_key"]]
+
+
 def test_signal_groups_and_merge(spark):
     schema = "pos long, subject string, rounds array<string>, amount string, day long"
     rows = [(0, "天穹火箭", ["a"], "1亿", 10), (1, "天穹", ["a", "b"], None, 50), (2, "天穹", ["a"], "2亿", 12), (3, "天穹", [], None, 10), (4, "天穹火箭", ["a"], None, 90), (5, "天穹", ["a"], None, None)]
